@@ -17,6 +17,6 @@ def thousands(c: Column) -> Column:
 
 
 def count_and_rate(part: Column, whole: Column) -> Column:
-    """``part (percent%)`` with two decimals."""
+    """The removed-rows line: a count and its percentage with two decimals."""
     percent = F.coalesce(F.try_divide(part * 100.0, whole), F.lit(0.0))
-    return F.format_string("%d (%.2f%%)", part, percent)
+    return F.format_string("Rows removed: %d (%.2f%%)", part, percent)
