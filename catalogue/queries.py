@@ -35,9 +35,9 @@ DIGITS = 6
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Every double rounded, so that two engines' last bits do not matter."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(F.col(quoted(n)), digits).alias(n) if t in ("double", "float") else F.col(quoted(n))
+            f"round({quoted(n)}, {digits}) AS {quoted(n)}" if t in ("double", "float") else quoted(n)
             for n, t in df.dtypes
         ]
     )
@@ -370,7 +370,8 @@ def index_neighbours(spark, sf):
 
 def index_clusters(spark, sf):
     features = similarity_features(CONDITIONS)
-    points = stage(clustering.cluster_input(_practice_table(spark, sf), "ORG_CODE", features), "points")
+    index = stage(_practice_table(spark, sf).select("ORG_CODE", *features), "index")
+    points = stage(clustering.cluster_input(index, "ORG_CODE", features), "points")
     return clustering.kmeans_best_of(points, k=7).withColumnRenamed("key", "ORG_CODE")
 
 

@@ -3,12 +3,15 @@
 For every organisation and metric: sum(weight * value) / sum(weight of the
 areas whose value is known).
 
-The wide form is the one to use at scale.  It joins each weight row to ONE
-area row carrying all metrics, so the join output has as many rows as there
-are weights (a long join has that times the number of metrics), and the
-aggregate that follows combines on the map side before its shuffle, which
-also keeps an organisation owning a large share of the rows harmless.  An
-area owning a large share of them is a skewed join key: the join feeds a
+Areas are joined in a packed form: one row per area whose metrics sit in parts
+of ten.  A weight row therefore meets ONE area row (a long join would multiply
+the join output by the number of metrics), and is unrolled to one row per part
+only inside the task, right before the map-side half of the aggregate.  Twenty
+sums per part stay within generated code; a hundred or more in one row do not
+and run several times slower.
+
+Skew: an organisation owning a large share of the rows is combined on the map
+side.  An area owning a large share is a skewed join key; the join feeds a
 shuffle on another key, so adaptive execution is free to split it.
 """
 
@@ -23,36 +26,59 @@ from peerlens.functions.columns import quoted
 from peerlens.functions.missing import ratio, sum_ignoring, weight_where_present
 from peerlens.operators.reshape import long_to_wide, wide_to_long
 
+PART_WIDTH = 10
+
+
+def _parts(metrics: Sequence[str]) -> list[list[str]]:
+    width = min(PART_WIDTH, len(metrics))
+    return [list(metrics[i : i + width]) for i in range(0, len(metrics), width)]
+
+
+def _packed(geo_wide: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """``(geo_code, parts)``: numbered parts of the metrics, the last one padded with NULL."""
+    parts = _parts(metrics)
+    packed = []
+    for number, names in enumerate(parts):
+        values = [f"double({quoted(m)})" for m in names] + ["double(NULL)"] * (len(parts[0]) - len(names))
+        fields = ", ".join(f"'v{i}', {v}" for i, v in enumerate(values))
+        packed.append(f"named_struct('part', {number}, {fields})")
+    return geo_wide.selectExpr("geo_code", f"array({', '.join(packed)}) AS parts")
+
 
 def apportion_sums(
     geo_wide: DataFrame, weights: DataFrame, metrics: Sequence[str], by: Sequence[str] = ("org_code",)
 ) -> DataFrame:
-    """The two sums per metric, per organisation: ``__n_<metric>`` and ``__d_<metric>``.
+    """``(by..., part, n0.., d0..)``: numerators and denominators, part by part.
 
-    They add up, so a coarser level can be rolled up from them without joining
-    the weights to the areas again.
+    Missing products and weights count 0, so the sums add up: a coarser level
+    can be rolled up from them without joining weights to areas again.
     """
-    joined = weights.join(geo_wide.select("geo_code", *[F.col(quoted(m)) for m in metrics]), "geo_code", "inner")
-    w = F.col("weighting").cast("double")
-    aggregates = []
-    for m in metrics:
-        v = F.col(quoted(m))
-        aggregates.append(sum_ignoring(w * v).alias(f"__n_{m}"))
-        aggregates.append(sum_ignoring(weight_where_present(v, w)).alias(f"__d_{m}"))
-    return joined.groupBy(*by).agg(*aggregates)
+    width = len(_parts(metrics)[0])
+    joined = weights.join(_packed(geo_wide, metrics), "geo_code", "inner")
+    unrolled = joined.selectExpr(*map(quoted, by), "coalesce(double(weighting), 0D) AS w", "inline(parts)")
+    return unrolled.groupBy(*by, "part").agg(
+        *[F.expr(f"sum(coalesce(w * v{i}, 0D))").alias(f"n{i}") for i in range(width)],
+        *[F.expr(f"sum(if(v{i} IS NULL, 0D, w))").alias(f"d{i}") for i in range(width)],
+    )
 
 
-def roll_up_sums(sums: DataFrame, by: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """Add organisation-level sums up to a coarser level."""
-    columns = [f"__{s}_{m}" for m in metrics for s in "nd"]
-    return sums.groupBy(*by).agg(*[F.sum(F.col(quoted(c))).alias(c) for c in columns])
+def roll_up_sums(sums: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add the sums up to a coarser level."""
+    columns = [c for c in sums.columns if c[0] in "nd" and c[1:].isdigit()]
+    return sums.groupBy(*by, "part").agg(*[F.sum(c).alias(c) for c in columns])
 
 
 def sums_to_means(sums: DataFrame, by: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """Turn the sums into weighted means."""
-    return sums.select(
-        *by, *[ratio(F.col(quoted(f"__n_{m}")), F.col(quoted(f"__d_{m}"))).alias(m) for m in metrics]
-    )
+    """Weighted means, one row per organisation, one column per metric.
+
+    ``sums`` holds each part of an organisation once.
+    """
+    parts = _parts(metrics)
+    width = len(parts[0])
+    means = [F.expr(f"max(try_divide(n{i}, d{i}))").alias(f"m{i}") for i in range(width)]
+    wide = sums.groupBy(*by).pivot("part", list(range(len(parts)))).agg(*means)
+    padding = [f"__pad{i}" for i in range(len(parts) * width - len(metrics))]
+    return wide.toDF(*by, *metrics, *padding).drop(*padding)
 
 
 def apportion_wide(geo_wide: DataFrame, weights: DataFrame, metrics: Sequence[str]) -> DataFrame:
@@ -63,9 +89,10 @@ def apportion_wide(geo_wide: DataFrame, weights: DataFrame, metrics: Sequence[st
 def apportion(geo: DataFrame, weights: DataFrame, metrics: Sequence[str] | None = None) -> DataFrame:
     """Long contract: ``(geo_code, metric, value)`` to ``(org_code, metric, value)``.
 
-    With the metric names given, the areas are widened first.  Without them the
-    long join runs; it too adds up on the map side before its shuffle.  A
-    metric is reported for an organisation when any of its areas lists it.
+    With the metric names given, the areas are packed first and every listed
+    metric is reported for every organisation that meets an area.  Without them
+    the long join runs and only the metrics an organisation meets are reported;
+    it too adds up on the map side before its shuffle.
     """
     if metrics is None:
         w, v = F.col("weighting").cast("double"), F.col("value")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -19,9 +20,15 @@ def cluster_input(df: DataFrame, key: str, features: Sequence[str]) -> DataFrame
     return as_vectors(standardise(df, [key], features, missing_as_zero=True), key, features)
 
 
+ROWS_PER_TASK = 20_000
+
+
 def _ml_points(vectors: DataFrame) -> DataFrame:
-    """Points in a fixed order, so that seeded sampling repeats, kept in memory and on disk."""
-    partitions = vectors.sparkSession.sparkContext.defaultParallelism
+    """Points in a fixed order, so that seeded sampling repeats, kept in memory and on disk.
+
+    Each fit makes some 25 passes, so the passes over few points get few tasks.
+    """
+    partitions = max(1, math.ceil(vectors.count() / ROWS_PER_TASK))
     return (
         vectors.repartition(partitions, "key")
         .sortWithinPartitions("key")
@@ -54,7 +61,7 @@ def canonical_labels(labelled: DataFrame, label: str) -> DataFrame:
 
 
 def kmeans_best_of(
-    vectors: DataFrame, k: int, starts: int = 20, max_iter: int = 20, seed: int = 1, threads: int = 4
+    vectors: DataFrame, k: int, starts: int = 20, max_iter: int = 20, seed: int = 1, threads: int = 8
 ) -> DataFrame:
     """``(key, cluster)`` of the start with the lowest within-cluster sum of squares."""
     points = _ml_points(vectors)
@@ -97,7 +104,7 @@ def total_sum_of_squares(vectors: DataFrame) -> DataFrame:
 
 
 def wss_sweep(
-    vectors: DataFrame, k_max: int = 10, max_iter: int = 20, seed: int = 1, threads: int = 4
+    vectors: DataFrame, k_max: int = 10, max_iter: int = 20, seed: int = 1, threads: int = 8
 ) -> DataFrame:
     """``(k, wss)`` for k = 1..k_max; one start each, k = 1 in closed form."""
     spark = vectors.sparkSession
@@ -110,7 +117,7 @@ def wss_sweep(
 
 
 def sweep_labels(
-    vectors: DataFrame, k_max: int = 10, max_iter: int = 20, seed: int = 1, threads: int = 4
+    vectors: DataFrame, k_max: int = 10, max_iter: int = 20, seed: int = 1, threads: int = 8
 ) -> DataFrame:
     """``(key, vec, labels)``: the cluster of each point for k = 2..k_max, side by side."""
     points = _ml_points(vectors)

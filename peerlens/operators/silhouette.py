@@ -78,7 +78,7 @@ def silhouette_of_labels(points: DataFrame, label: str) -> DataFrame:
 
 
 def silhouette_sweep(
-    vectors: DataFrame, k_max: int = 10, max_iter: int = 20, seed: int = 1, threads: int = 4
+    vectors: DataFrame, k_max: int = 10, max_iter: int = 20, seed: int = 1, threads: int = 8
 ) -> DataFrame:
     """``(k, mean_silhouette)`` for k = 1..k_max (0 for k = 1) from one pass over the pairs."""
     labelled = sweep_labels(vectors, k_max, max_iter, seed, threads)

@@ -10,28 +10,22 @@ from pyspark.sql import functions as F
 from peerlens.functions.columns import quoted
 
 
+STATS = "__stats"
+
+
 def _statistics(df: DataFrame, columns: Sequence[str]) -> Column:
     """Means and sample deviations of all columns as one scalar subquery.
 
     One aggregate pass yields a single row; a constant (or single-valued)
-    column has no deviation.  Min = max is tested as well as deviation = 0
-    because a rounded mean can leave a constant column a tiny deviation.
+    column has no deviation; min = max is tested as well as deviation = 0,
+    because a rounded mean can leave a constant column a tiny deviation.  The
+    caller attaches the result as one column, so the subquery is planned once
+    however many features there are.
     """
-    names = [F.col(quoted(c)).cast("double") for c in columns]
-    means = F.array(*[F.avg(c) for c in names])
-    scales = F.array(*[F.when(F.min(c) != F.max(c), F.nullif(F.stddev_samp(c), F.lit(0.0))) for c in names])
-    return df.agg(F.struct(means.alias("mean"), scales.alias("scale")).alias("s")).scalar()
-
-
-def standardised(df: DataFrame, columns: Sequence[str]) -> list[Column]:
-    """The standardised columns as expressions, named like their inputs."""
-    stats = _statistics(df, columns)
-    return [
-        F.try_divide(
-            F.col(quoted(c)).cast("double") - stats.getField("mean")[i], stats.getField("scale")[i]
-        ).alias(c)
-        for i, c in enumerate(columns)
-    ]
+    names = [f"double({quoted(c)})" for c in columns]
+    means = ", ".join(f"avg({c})" for c in names)
+    scales = ", ".join(f"CASE WHEN min({c}) <> max({c}) THEN nullif(stddev_samp({c}), 0D) END" for c in names)
+    return df.agg(F.expr(f"named_struct('mean', array({means}), 'scale', array({scales}))").alias("s")).scalar()
 
 
 def standardise(df: DataFrame, keys: Sequence[str], columns: Sequence[str], missing_as_zero: bool = False) -> DataFrame:
@@ -41,13 +35,16 @@ def standardise(df: DataFrame, keys: Sequence[str], columns: Sequence[str], miss
     *before* the statistics are taken, and constants contribute 0 after.
     """
     if missing_as_zero:
-        df = df.select(*keys, *[F.coalesce(F.col(quoted(c)).cast("double"), F.lit(0.0)).alias(c) for c in columns])
-    out = standardised(df, columns)
-    if missing_as_zero:
-        out = [F.coalesce(z, F.lit(0.0)).alias(c) for z, c in zip(out, columns)]
-    return df.select(*keys, *out)
+        df = df.selectExpr(*map(quoted, keys), *[f"coalesce(double({quoted(c)}), 0D) AS {quoted(c)}" for c in columns])
+    with_stats = df.withColumn(STATS, _statistics(df, columns))
+    out = []
+    for i, c in enumerate(columns):
+        z = f"try_divide(double({quoted(c)}) - {STATS}.mean[{i}], {STATS}.scale[{i}])"
+        out.append(f"coalesce({z}, 0D) AS {quoted(c)}" if missing_as_zero else f"{z} AS {quoted(c)}")
+    return with_stats.selectExpr(*map(quoted, keys), *out)
 
 
 def as_vectors(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """``(key, vec)`` with the feature columns packed into one array."""
-    return df.select(F.col(quoted(key)).alias("key"), F.array(*[F.col(quoted(c)).cast("double") for c in columns]).alias("vec"))
+    packed = ", ".join(f"double({quoted(c)})" for c in columns)
+    return df.selectExpr(f"{quoted(key)} AS key", f"array({packed}) AS vec")

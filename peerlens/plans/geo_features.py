@@ -72,5 +72,5 @@ def organisation_sums(
 def level_means(sums: DataFrame, level: str, metrics: Sequence[str] | None = None) -> DataFrame:
     """Weighted means of one level from the shared sums, keyed by ``org_code``."""
     metrics = geo_features() if metrics is None else metrics
-    rolled = roll_up_sums(sums, [level], metrics).withColumnRenamed(level, "org_code")
+    rolled = roll_up_sums(sums, [level]).withColumnRenamed(level, "org_code")
     return sums_to_means(rolled, ["org_code"], metrics)
