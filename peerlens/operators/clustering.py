@@ -23,22 +23,33 @@ def cluster_input(df: DataFrame, key: str, features: Sequence[str]) -> DataFrame
 ROWS_PER_TASK = 20_000
 
 
-def _ml_points(vectors: DataFrame) -> DataFrame:
-    """Points in a fixed order, so that seeded sampling repeats, kept in memory and on disk.
+def _ml_points(vectors: DataFrame, k: int) -> DataFrame:
+    """Distinct points with their number of copies, kept in memory and on disk.
 
-    Each fit makes some 25 passes, so the passes over few points get few tasks.
+    Starts are drawn among distinct points, so a group of copies cannot fill a
+    start with one point, and copies cost one row however many there are.
+    Rows lie in a fixed order, so that seeded sampling repeats.  Each fit makes
+    some 25 passes, so the passes over few points get few tasks.
     """
     partitions = max(1, math.ceil(vectors.count() / ROWS_PER_TASK))
-    return (
-        vectors.repartition(partitions, "key")
+    points = (
+        vectors.groupBy("vec")
+        .agg(F.count(F.lit(1)).cast("double").alias("copies"), F.min("key").alias("key"))
+        .repartition(partitions, "key")
         .sortWithinPartitions("key")
-        .select("key", "vec", array_to_vector("vec").alias("features"))
+        .select("copies", array_to_vector("vec").alias("features"))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    distinct = points.count()
+    if distinct < k:
+        points.unpersist()
+        raise ValueError(f"{k} clusters asked of {distinct} distinct points")
+    return points
 
 
 def _fit(points: DataFrame, k: int, seed: int, max_iter: int) -> tuple[float, int, KMeansModel]:
-    model = KMeans(k=k, maxIter=max_iter, tol=0.0, seed=seed, initMode="random").fit(points)
+    kmeans = KMeans(k=k, maxIter=max_iter, tol=0.0, seed=seed, initMode="random", weightCol="copies")
+    model = kmeans.fit(points)
     return model.summary.trainingCost, seed, model
 
 
@@ -64,7 +75,7 @@ def kmeans_best_of(
     vectors: DataFrame, k: int, starts: int = 20, max_iter: int = 20, seed: int = 1, threads: int = 8
 ) -> DataFrame:
     """``(key, cluster)`` of the start with the lowest within-cluster sum of squares."""
-    points = _ml_points(vectors)
+    points = _ml_points(vectors, k)
     runs = [(k, seed + i) for i in range(starts)]
     fits = _fit_all(vectors.sparkSession, points, runs, max_iter, threads)
     best = min(fits, key=lambda fit: fit[:2])[2]
@@ -108,7 +119,7 @@ def wss_sweep(
 ) -> DataFrame:
     """``(k, wss)`` for k = 1..k_max; one start each, k = 1 in closed form."""
     spark = vectors.sparkSession
-    points = _ml_points(vectors)
+    points = _ml_points(vectors, k_max)
     fits = _fit_all(spark, points, [(k, seed) for k in range(2, k_max + 1)], max_iter, threads)
     points.unpersist()
     costs = [(k, float(cost)) for k, (cost, _, _) in zip(range(2, k_max + 1), fits)]
@@ -120,7 +131,7 @@ def sweep_labels(
     vectors: DataFrame, k_max: int = 10, max_iter: int = 20, seed: int = 1, threads: int = 8
 ) -> DataFrame:
     """``(key, vec, labels)``: the cluster of each point for k = 2..k_max, side by side."""
-    points = _ml_points(vectors)
+    points = _ml_points(vectors, k_max)
     fits = _fit_all(vectors.sparkSession, points, [(k, seed) for k in range(2, k_max + 1)], max_iter, threads)
     points.unpersist()
     labels = []
