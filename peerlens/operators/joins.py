@@ -64,5 +64,9 @@ def chain_left(base: DataFrame, others: Sequence[DataFrame], key: str) -> DataFr
 
 
 def registered_only(orgs: DataFrame, registrations: DataFrame, key: str) -> DataFrame:
-    """Organisations that occur in the registrations."""
-    return orgs.join(registrations.select(F.col(quoted(key))), key, "left_semi")
+    """Organisations that occur in the registrations.
+
+    The registrations are reduced to their distinct keys first, on the map side
+    already, so the join never shuffles them row by row.
+    """
+    return orgs.join(registrations.select(F.col(quoted(key))).distinct(), key, "left_semi")
