@@ -10,9 +10,14 @@ only inside the task, right before the map-side half of the aggregate.  Twenty
 sums per part stay within generated code; a hundred or more in one row do not
 and run several times slower.
 
+The packed areas are stored and counted.  If they fit in memory they are
+broadcast, and the weights, the big side, are then added up on the map side
+without ever being shuffled row by row.  If not, both sides are sorted and
+merged.
+
 Skew: an organisation owning a large share of the rows is combined on the map
-side.  An area owning a large share is a skewed join key; the join feeds a
-shuffle on another key, so adaptive execution is free to split it.
+side.  An area owning a large share only matters to the sort-merge join; that
+feeds a shuffle on another key, so adaptive execution is free to split it.
 """
 
 from __future__ import annotations
@@ -24,7 +29,9 @@ from pyspark.sql import functions as F
 
 from peerlens.functions.columns import quoted
 from peerlens.functions.missing import ratio, sum_ignoring, weight_where_present
+from peerlens.operators.joins import BROADCAST_BYTES, small_or_not
 from peerlens.operators.reshape import long_to_wide, wide_to_long
+from peerlens.sources.staging import stage
 
 PART_WIDTH = 10
 
@@ -46,7 +53,11 @@ def _packed(geo_wide: DataFrame, metrics: Sequence[str]) -> DataFrame:
 
 
 def apportion_sums(
-    geo_wide: DataFrame, weights: DataFrame, metrics: Sequence[str], by: Sequence[str] = ("org_code",)
+    geo_wide: DataFrame,
+    weights: DataFrame,
+    metrics: Sequence[str],
+    by: Sequence[str] = ("org_code",),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``(by..., part, n0.., d0..)``: numerators and denominators, part by part.
 
@@ -54,7 +65,9 @@ def apportion_sums(
     can be rolled up from them without joining weights to areas again.
     """
     width = len(_parts(metrics)[0])
-    joined = weights.join(_packed(geo_wide, metrics), "geo_code", "inner")
+    areas = stage(_packed(geo_wide, metrics), "areas")
+    row_bytes = 64 + len(_parts(metrics)) * (24 + 8 * width)
+    joined = weights.join(small_or_not(areas, row_bytes, broadcast_bytes), "geo_code", "inner")
     unrolled = joined.selectExpr(*map(quoted, by), "coalesce(double(weighting), 0D) AS w", "inline(parts)")
     return unrolled.groupBy(*by, "part").agg(
         *[F.expr(f"sum(coalesce(w * v{i}, 0D))").alias(f"n{i}") for i in range(width)],

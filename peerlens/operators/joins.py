@@ -1,8 +1,9 @@
 """Left lookups and the guarded feature join.
 
-No broadcast hints here: Spark broadcasts a side only when its size is known
-to be under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and
-merges, with skewed partitions split at run time.
+No broadcast hints on lookups: Spark broadcasts a side only when its size is
+known to be under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts
+and merges, with skewed partitions split at run time.  A hint is given only
+by ``small_or_not``, which counts the rows of a stored table first.
 """
 
 from __future__ import annotations
@@ -15,6 +16,18 @@ from pyspark.sql import functions as F
 from peerlens.functions.columns import quoted
 
 
+BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def small_or_not(stored: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table, hinted for broadcast if its rows fit the limit; else as it is.
+
+    Spark's own estimate of a table derived by joins is far too large, so it
+    would shuffle the big side of the join needlessly.
+    """
+    return F.broadcast(stored) if stored.count() * row_bytes <= limit else stored
+
+
 class FeatureNameClash(ValueError):
     """A feature table brings a column the index already has."""
 

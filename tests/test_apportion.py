@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from peerlens.operators.apportion import apportion, apportion_sums, apportion_wide, roll_up_sums, sums_to_means
+from peerlens.operators.joins import BROADCAST_BYTES
 
 WEIGHTS = [("A", "g1", 10), ("A", "g2", 30), ("B", "g2", 5), ("B", "g3", 5), ("C", "g3", 7), ("D", "g9", 1)]
 VALUES = [("g1", "m", 2.0), ("g2", "m", 4.0), ("g3", "m", None)]
@@ -65,7 +66,8 @@ def test_rolled_up_sums_equal_a_direct_join(spark):
     assert {tuple(r) for r in rolled.collect()} == {tuple(r) for r in direct.collect()}
 
 
-def test_one_area_holding_a_third_of_the_weights(spark):
+@pytest.mark.parametrize("limit", [0, BROADCAST_BYTES])
+def test_one_area_holding_a_third_of_the_weights(spark, limit):
     """A hot area and a hot organisation give the same answer as the plain formula."""
     weights = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("o"), F.col("id") % 50)).alias("org_code"),
@@ -76,7 +78,10 @@ def test_one_area_holding_a_third_of_the_weights(spark):
     geo = geo.union(spark.createDataFrame([("ghot", 3.25)], "geo_code string, m double"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = {r.org_code: r.m for r in apportion_wide(geo, weights, ["m"]).collect()}
+        sums = apportion_sums(geo, weights, ["m"], broadcast_bytes=limit)
+        plan = sums._jdf.queryExecution().toString()
+        assert ("BroadcastHashJoin" in plan) == (limit > 0) and ("SortMergeJoin" in plan) == (limit == 0)
+        got = {r.org_code: r.m for r in sums_to_means(sums, ["org_code"], ["m"]).collect()}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     values = {r.geo_code: r.m for r in geo.collect()}
