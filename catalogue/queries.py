@@ -347,8 +347,7 @@ def sources(spark: SparkSession, sf: str) -> index_plan.Sources:
 
 def _practice_table(spark, sf) -> DataFrame:
     s = sources(spark, sf)
-    base = stage(index_plan.base(s), "registrations")
-    return index_plan.practice_table(s, base, index_plan.area_sums(s, base))
+    return index_plan.practice_table(s, index_plan.stored_area_sums(s))
 
 
 def full_index(spark, sf):
@@ -357,8 +356,7 @@ def full_index(spark, sf):
 
 def full_index_parent(spark, sf):
     s = sources(spark, sf)
-    base = stage(index_plan.base(s), "registrations")
-    return rounded(index_plan.parent_table(s, index_plan.area_sums(s, base)))
+    return rounded(index_plan.parent_table(s, index_plan.stored_area_sums(s)))
 
 
 def index_neighbours(spark, sf):

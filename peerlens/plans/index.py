@@ -12,6 +12,7 @@ from peerlens.plans import geo_features as geo
 from peerlens.plans import org_features as org
 from peerlens.plans import organisations as orgs
 from peerlens.plans.names import PARENT_STAFF, PRACTICE_STAFF
+from peerlens.sources.staging import stage
 
 
 @dataclass
@@ -48,7 +49,7 @@ def base(s: Sources) -> DataFrame:
 
 
 def area_sums(s: Sources, registrations: DataFrame) -> DataFrame:
-    """Apportionment sums shared by both levels."""
+    """Apportionment sums per (practice, practice group), shared by both levels."""
     areas = geo.area_features(
         geo.density_by_area(registrations, s.areas),
         geo.ethnicity_by_area(s.area_map, s.ethnicity),
@@ -57,15 +58,28 @@ def area_sums(s: Sources, registrations: DataFrame) -> DataFrame:
     return geo.organisation_sums(registrations, areas)
 
 
+def stored_area_sums(s: Sources) -> DataFrame:
+    """The sums as a stored table: the one pass over the big inputs, organisation-sized from here on.
+
+    The registration base is stored too, since both the densities and the
+    weights come from it.
+    """
+    return stage(area_sums(s, stage(base(s), "registrations")), "area-sums")
+
+
 def _assemble(index: DataFrame, features: Sequence[tuple[DataFrame, str]]) -> DataFrame:
     for table, key in features:
         index = guarded_feature_join(index, table, "org_code", key)
     return index
 
 
-def practice_table(s: Sources, registrations: DataFrame, sums: DataFrame) -> DataFrame:
-    """One row per practice with every feature."""
-    index = orgs.practice_index(s.practices, registrations, s.locations, s.postcodes)
+def practice_table(s: Sources, sums: DataFrame) -> DataFrame:
+    """One row per practice with every feature.
+
+    Every registered practice has sums, because every registered area has a
+    density; so the sums also tell which practices are registered.
+    """
+    index = orgs.practice_index(s.practices, sums, s.locations, s.postcodes)
     wide = _assemble(
         index,
         [

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from peerlens.operators import clustering, neighbours, silhouette
 from peerlens.operators.layer import map_layer
+from peerlens.operators.rollup import removal_report
 from peerlens.operators.standardise import as_vectors, standardise
 from peerlens.plans import index as index_plan
 from peerlens.plans.names import PRACTICE_STAFF, age_features, similarity_features
+from peerlens.plans.organisations import is_english
 from peerlens.sources.readers import read_snapshot
 from peerlens.sources.sinks import write_csv, write_snapshot
 from peerlens.sources.staging import stage
@@ -40,11 +42,12 @@ def conditions_of(index: DataFrame) -> list[str]:
 
 
 def build_index(spark: SparkSession, sources: index_plan.Sources, out: str) -> None:
-    """Both index tables, as delimited text and as stored tables."""
-    registrations = stage(index_plan.base(sources), "registrations")
-    sums = stage(index_plan.area_sums(sources, registrations), "area-sums")
+    """Both index tables, as delimited text and as stored tables, and the removed-rows report."""
+    report = removal_report(sources.registrations, is_english("lsoa11cd"))
+    write_snapshot(report, f"{out}/quality/registrations")
+    sums = index_plan.stored_area_sums(sources)
     tables = {
-        "practice": index_plan.practice_table(sources, registrations, sums),
+        "practice": index_plan.practice_table(sources, sums),
         "pcn": index_plan.parent_table(sources, sums),
     }
     for level, df in tables.items():

@@ -96,6 +96,8 @@ def test_index_from_files_equals_the_registered_query(spark, built, level, query
     want = QUERIES[query](spark, SF)
     assert sorted(stored.columns) == sorted(want.columns)
     assert as_set(stored) == as_set(want)
+    report = read_snapshot(spark, f"{built}/quality/registrations").first()
+    assert 0 < report.n_removed < report.n_rows and report.report.startswith(f"Rows removed: {report.n_removed} (")
     text = read_csv_all(spark, f"{built}/{level}_level_nn_data")
     assert text.columns == stored.columns
     assert text.count() == want.count()
