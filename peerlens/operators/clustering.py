@@ -91,12 +91,17 @@ def squared_distance_to(vec: Column, centre: Sequence[float]) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
 
 
-def assign_to_centroids(vectors: DataFrame, centroids: Sequence[Sequence[float]]) -> DataFrame:
-    """Number (from 0) of the nearest centroid, lowest number on a tie; no shuffle."""
+def nearest_centroid(centroids: Sequence[Sequence[float]]) -> Column:
+    """``(d, i)`` of the centroid nearest to ``vec``: smallest distance, then lowest number."""
     options = [
         F.struct(squared_distance_to(F.col("vec"), c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centroids)
     ]
-    best = F.array_min(F.array(*options))
+    return F.array_min(F.array(*options))
+
+
+def assign_to_centroids(vectors: DataFrame, centroids: Sequence[Sequence[float]]) -> DataFrame:
+    """Number (from 0) of the nearest centroid, lowest number on a tie; no shuffle."""
+    best = nearest_centroid(centroids)
     return vectors.select("key", best.getField("i").alias("nearest"), best.getField("d").alias("squared_distance"))
 
 
@@ -114,31 +119,29 @@ def total_sum_of_squares(vectors: DataFrame) -> DataFrame:
     return vectors.agg(F.coalesce(F.sum(squares), F.lit(0.0)).alias("wss"))
 
 
-def wss_sweep(
+def sweep_fits(
     vectors: DataFrame, k_max: int = 10, max_iter: int = 20, seed: int = 1, threads: int = 8
-) -> DataFrame:
-    """``(k, wss)`` for k = 1..k_max; one start each, k = 1 in closed form."""
-    spark = vectors.sparkSession
+) -> list[tuple[int, float, list[list[float]]]]:
+    """``(k, cost, centres)`` for k = 2..k_max, one start each."""
     points = _ml_points(vectors, k_max)
-    fits = _fit_all(spark, points, [(k, seed) for k in range(2, k_max + 1)], max_iter, threads)
+    ks = list(range(2, k_max + 1))
+    fits = _fit_all(vectors.sparkSession, points, [(k, seed) for k in ks], max_iter, threads)
     points.unpersist()
-    costs = [(k, float(cost)) for k, (cost, _, _) in zip(range(2, k_max + 1), fits)]
+    return [(k, float(cost), [list(map(float, c)) for c in m.clusterCenters()]) for k, (cost, _, m) in zip(ks, fits)]
+
+
+def wss_of_fits(vectors: DataFrame, fits: Sequence[tuple]) -> DataFrame:
+    """``(k, wss)``: the costs of the fits, and k = 1 in closed form."""
     first = total_sum_of_squares(vectors).select(F.lit(1).alias("k"), "wss")
-    return first.unionByName(spark.createDataFrame(costs, "k int, wss double"))
+    return first.unionByName(vectors.sparkSession.createDataFrame([f[:2] for f in fits], "k int, wss double"))
 
 
-def sweep_labels(
-    vectors: DataFrame, k_max: int = 10, max_iter: int = 20, seed: int = 1, threads: int = 8
-) -> DataFrame:
-    """``(key, vec, labels)``: the cluster of each point for k = 2..k_max, side by side."""
-    points = _ml_points(vectors, k_max)
-    fits = _fit_all(vectors.sparkSession, points, [(k, seed) for k in range(2, k_max + 1)], max_iter, threads)
-    points.unpersist()
-    labels = []
-    for _, _, model in fits:
-        options = [
-            F.struct(squared_distance_to(F.col("vec"), list(map(float, c))).alias("d"), F.lit(i).alias("i"))
-            for i, c in enumerate(model.clusterCenters())
-        ]
-        labels.append(F.array_min(F.array(*options)).getField("i"))
+def wss_sweep(vectors: DataFrame, k_max: int = 10, **options: int) -> DataFrame:
+    """``(k, wss)`` for k = 1..k_max."""
+    return wss_of_fits(vectors, sweep_fits(vectors, k_max, **options))
+
+
+def labels_of_fits(vectors: DataFrame, fits: Sequence[tuple]) -> DataFrame:
+    """``(key, vec, labels)``: the cluster of each point in every fit, side by side."""
+    labels = [nearest_centroid(centres).getField("i") for _, _, centres in fits]
     return vectors.select("key", "vec", F.array(*labels).alias("labels"))

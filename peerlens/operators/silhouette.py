@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerlens.operators.blocks import cluster_distance_sums, to_block_pairs
-from peerlens.operators.clustering import sweep_labels
+from peerlens.operators.clustering import labels_of_fits, sweep_fits, wss_of_fits
 from peerlens.operators.neighbours import staged_vectors
 
 
@@ -77,20 +77,22 @@ def silhouette_of_labels(points: DataFrame, label: str) -> DataFrame:
     )
 
 
-def silhouette_sweep(
-    vectors: DataFrame, k_max: int = 10, max_iter: int = 20, seed: int = 1, threads: int = 8
-) -> DataFrame:
-    """``(k, mean_silhouette)`` for k = 1..k_max (0 for k = 1) from one pass over the pairs."""
-    labelled = sweep_labels(vectors, k_max, max_iter, seed, threads)
-    ks = list(range(2, k_max + 1))
-    widths = silhouette_widths(labelled, ks)
-    means = widths.agg(
-        F.array(
-            F.struct(F.lit(1).alias("k"), F.lit(0.0).alias("mean_silhouette")),
-            *[
-                F.struct(F.lit(k).alias("k"), F.avg(F.get("widths", F.lit(j))).alias("mean_silhouette"))
-                for j, k in enumerate(ks)
-            ],
-        ).alias("rows")
-    )
-    return means.select(F.inline("rows"))
+def silhouettes_of_fits(vectors: DataFrame, fits: Sequence[tuple]) -> DataFrame:
+    """``(k, mean_silhouette)`` for k = 1 (0 by definition) and every fit, from one pass over the pairs."""
+    ks = [k for k, _, _ in fits]
+    widths = silhouette_widths(labels_of_fits(vectors, fits), ks)
+    means = [F.struct(F.lit(1).alias("k"), F.lit(0.0).alias("mean_silhouette"))]
+    for j, k in enumerate(ks):
+        means.append(F.struct(F.lit(k).alias("k"), F.avg(F.get("widths", F.lit(j))).alias("mean_silhouette")))
+    return widths.agg(F.array(*means).alias("rows")).select(F.inline("rows"))
+
+
+def silhouette_sweep(vectors: DataFrame, k_max: int = 10, **options: int) -> DataFrame:
+    """``(k, mean_silhouette)`` for k = 1..k_max."""
+    return silhouettes_of_fits(vectors, sweep_fits(vectors, k_max, **options))
+
+
+def k_diagnostics(vectors: DataFrame, k_max: int = 10, **options: int) -> DataFrame:
+    """``(k, wss, mean_silhouette)``: both sweeps from the same fits."""
+    fits = sweep_fits(vectors, k_max, **options)
+    return wss_of_fits(vectors, fits).join(silhouettes_of_fits(vectors, fits), "k")

@@ -20,7 +20,7 @@ from peerlens.plans.names import PRACTICE_STAFF, age_features, similarity_featur
 from peerlens.plans.organisations import is_english
 from peerlens.sources.readers import read_snapshot
 from peerlens.sources.sinks import write_csv, write_snapshot
-from peerlens.sources.staging import stage
+from peerlens.sources.staging import stage, staging_scope
 
 LEVELS = ("practice", "pcn")
 # Clusters per level and neighbours kept.
@@ -45,15 +45,16 @@ def build_index(spark: SparkSession, sources: index_plan.Sources, out: str) -> N
     """Both index tables, as delimited text and as stored tables, and the removed-rows report."""
     report = removal_report(sources.registrations, is_english("lsoa11cd"))
     write_snapshot(report, f"{out}/quality/registrations")
-    sums = index_plan.stored_area_sums(sources)
-    tables = {
-        "practice": index_plan.practice_table(sources, sums),
-        "pcn": index_plan.parent_table(sources, sums),
-    }
-    for level, df in tables.items():
-        path = f"{out}/nn_data/{level}"
-        write_snapshot(df, path)
-        write_csv(read_snapshot(spark, path), f"{out}/{level}_level_nn_data")
+    with staging_scope(spark, "index"):
+        sums = index_plan.stored_area_sums(sources)
+        tables = {
+            "practice": index_plan.practice_table(sources, sums),
+            "pcn": index_plan.parent_table(sources, sums),
+        }
+        for level, df in tables.items():
+            path = f"{out}/nn_data/{level}"
+            write_snapshot(df, path)
+            write_csv(read_snapshot(spark, path), f"{out}/{level}_level_nn_data")
 
 
 def _feature_table(spark: SparkSession, out: str, level: str) -> tuple[DataFrame, list[str]]:
@@ -71,23 +72,24 @@ def build_neighbours(spark: SparkSession, out: str, levels: Sequence[str] = LEVE
     for level in levels:
         table, features = _feature_table(spark, out, level)
         vectors = as_vectors(standardise(table, ["ORG_CODE"], features), "ORG_CODE", features)
-        if with_pairs:
-            path = f"{out}/dist_data/{level}"
-            write_snapshot(neighbours.pairwise_distance(vectors), path)
-            write_csv(read_snapshot(spark, path), f"{out}/{level}_dist_matrix")
-        write_snapshot(neighbours.nearest_and_farthest(vectors, NEIGHBOURS), f"{out}/dist_lists/{level}", ["list"])
+        with staging_scope(spark, "neighbours"):
+            if with_pairs:
+                path = f"{out}/dist_data/{level}"
+                write_snapshot(neighbours.pairwise_distance(vectors), path)
+                write_csv(read_snapshot(spark, path), f"{out}/{level}_dist_matrix")
+            lists = neighbours.nearest_and_farthest(vectors, NEIGHBOURS)
+            write_snapshot(lists, f"{out}/dist_lists/{level}", ["list"])
 
 
 def build_clusters(spark: SparkSession, out: str, levels: Sequence[str] = LEVELS, k_max: int = 10) -> None:
     """Clusters, the sweeps over k that justify them, and the map table."""
     for level in levels:
         table, features = _feature_table(spark, out, level)
-        points = stage(clustering.cluster_input(table, "ORG_CODE", features), "points")
-        wss = clustering.wss_sweep(points, k_max)
-        widths = silhouette.silhouette_sweep(points, k_max)
-        write_snapshot(wss.join(widths, "k"), f"{out}/k_diagnostics/{level}")
-        labelled = clustering.kmeans_best_of(points, CLUSTERS[level])
-        write_snapshot(labelled.select(F.col("key").alias("ORG_CODE"), "cluster"), f"{out}/clusters/{level}")
+        with staging_scope(spark, "clusters"):
+            points = stage(clustering.cluster_input(table, "ORG_CODE", features), "points")
+            write_snapshot(silhouette.k_diagnostics(points, k_max), f"{out}/k_diagnostics/{level}")
+            labelled = clustering.kmeans_best_of(points, CLUSTERS[level])
+            write_snapshot(labelled.select(F.col("key").alias("ORG_CODE"), "cluster"), f"{out}/clusters/{level}")
         if level == "practice":
             index = read_snapshot(spark, f"{out}/nn_data/{level}")
             layer = map_layer(index, read_snapshot(spark, f"{out}/clusters/{level}"))

@@ -8,10 +8,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: dict[str, str] = {}
+_scopes: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -26,7 +29,25 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A folder name in the shared folder that nothing else uses."""
-    return f"{shared_root(spark)}/peerlens/{label}-{uuid.uuid4().hex}"
+    home = _scopes[-1] if _scopes else f"{shared_root(spark)}/peerlens"
+    return f"{home}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging_scope(spark: SparkSession, label: str) -> Iterator[None]:
+    """Tables staged inside go to one folder, which is removed at the end.
+
+    For jobs that write their results out; a DataFrame that still reads a
+    staged table must not leave the scope.
+    """
+    home = new_folder(spark, label)
+    _scopes.append(home)
+    try:
+        yield
+    finally:
+        _scopes.remove(home)
+        path = spark._jvm.org.apache.hadoop.fs.Path(home)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The whole chain on delimited files laid out like the real sources."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from peerlens.plans.names import INDICATORS, SCORES, similarity_features
 from peerlens.sources.inputs import FIELDS, load_sources
 from peerlens.sources.readers import read_csv_all, read_csv_parts, read_snapshot, rows_of_layer
 from peerlens.sources.sinks import write_csv, write_snapshots
+from peerlens.sources.staging import new_folder, stage, staging_scope
 
 SF = "/root/testdata/sf0.001"
 
@@ -86,6 +89,17 @@ def built(spark, paths, tmp_path_factory):
     return out
 
 
+def test_a_scope_removes_what_was_staged_in_it(spark):
+    with staging_scope(spark, "trial"):
+        path = new_folder(spark, "table")
+        kept = stage(spark.range(3), "numbers")
+        assert kept.count() == 3
+        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 2)[0]
+        assert path.startswith(folder) and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+    assert not new_folder(spark, "table").startswith(folder)
+
+
 def as_set(df):
     return {tuple(r) for r in df.select(*sorted(df.columns)).collect()}
 
