@@ -21,7 +21,7 @@ from peerlens.plans import geo_features as geo
 from peerlens.plans import index as index_plan
 from peerlens.plans import org_features as org
 from peerlens.plans import organisations as orgs
-from peerlens.plans.names import DEPRIVATION, ETHNIC_GROUPS, INDICATORS, SCORES, similarity_features
+from peerlens.plans.names import DEPRIVATION, ETHNIC_GROUPS, INDICATORS, similarity_features
 from peerlens.sources.readers import read_csv, read_snapshot, union_by_name
 from peerlens.sources.sinks import write_csv, write_snapshot
 from peerlens.sources.staging import new_folder, stage

@@ -4,11 +4,11 @@ For every organisation and metric: sum(weight * value) / sum(weight of the
 areas whose value is known).
 
 Areas are joined in a packed form: one row per area whose metrics sit in parts
-of ten.  A weight row therefore meets ONE area row (a long join would multiply
+of at most 25.  A weight row therefore meets ONE area row (a long join would multiply
 the join output by the number of metrics), and is unrolled to one row per part
-only inside the task, right before the map-side half of the aggregate.  Twenty
-sums per part stay within generated code; a hundred or more in one row do not
-and run several times slower.
+only inside the task, right before the map-side half of the aggregate.  The
+sums of one part stay within generated code; a hundred in one row do not and
+take twice as long.
 
 The packed areas are stored and counted.  If they fit in memory they are
 broadcast, and the weights, the big side, are then added up on the map side
@@ -22,6 +22,7 @@ feeds a shuffle on another key, so adaptive execution is free to split it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -33,11 +34,12 @@ from peerlens.operators.joins import BROADCAST_BYTES, small_or_not
 from peerlens.operators.reshape import long_to_wide, wide_to_long
 from peerlens.sources.staging import stage
 
-PART_WIDTH = 10
+PART_WIDTH = 25
 
 
 def _parts(metrics: Sequence[str]) -> list[list[str]]:
-    width = min(PART_WIDTH, len(metrics))
+    """The metrics in as few, equally wide parts as possible."""
+    width = math.ceil(len(metrics) / math.ceil(len(metrics) / PART_WIDTH))
     return [list(metrics[i : i + width]) for i in range(0, len(metrics), width)]
 
 

@@ -39,9 +39,9 @@ def test_missing_areas_and_scaled_weights_change_nothing(spark):
 
 
 def test_many_metrics_span_parts(spark):
-    """23 metrics fill two parts and a piece; each must land in its own column."""
-    names = [f"m{i}" for i in range(23)]
-    rows = [(f"g{g}", *[None if (g + i) % 5 == 0 else float(g * 100 + i) for i in range(23)]) for g in range(7)]
+    """53 metrics make three parts, the last one padded; each must land in its own column."""
+    names = [f"m{i}" for i in range(53)]
+    rows = [(f"g{g}", *[None if (g + i) % 5 == 0 else float(g * 100 + i) for i in range(53)]) for g in range(7)]
     geo = spark.createDataFrame(rows, "geo_code string, " + ", ".join(f"{n} double" for n in names))
     links = [(f"o{g % 3}", f"g{g}", g + 1) for g in range(7)] + [("o0", "g1", None)]
     weights = spark.createDataFrame(links, "org_code string, geo_code string, weighting long")
