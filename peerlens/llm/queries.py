@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from peerlens.llm import oracles
+from peerlens.llm.language_crf import language_of
 from peerlens.llm.ngram_join import ngram_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +32,9 @@ def query(oracle: str | None = None):
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
     return ngram_groups(table(spark, sf_dir, "documents"), words=5, percent=75)
+
+
+@query()
+def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from those that are not held out."""
+    return language_of(table(spark, sf_dir, "documents"))
