@@ -336,3 +336,20 @@ def language_of(docs: DataFrame, training: DataFrame | None = None) -> DataFrame
     if not model.languages:
         return rows.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     return rows.mapInArrow(predict(model, ["doc_id", "held_out"]), PREDICTED)
+
+
+def in_known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of ``least`` or more; the columns stay.
+
+    The text and the labels are read from ``doc_id``, ``text`` and ``lang``; if no
+    row is labelled, no language is known and no row stays.
+    """
+    model = fit(docs.select("doc_id", F.col("text").cast("string"), "lang").where(~held_out(2, 4)))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text")
+    )
+    if not model.languages:
+        return docs.limit(0)
+    kind = rows.schema["row"].dataType.simpleString()
+    judged = rows.mapInArrow(predict(model, ["row"]), f"row {kind}, lang_pred string, score double")
+    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select("row.*")

@@ -383,3 +383,26 @@ def ngram_groups(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFram
             F.coalesce("class_links", F.lit(0)).cast("long").alias("n_links"),
         )
     )
+
+
+def one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its component; the columns stay.
+
+    Rows without an id or without words are in no group and stay.  Of rows that
+    repeat an id the first by text stays.
+    """
+    grouped = stored(ngram_groups(docs, words, percent), "groups")
+    # Stored, so that Spark knows their sizes and shuffles the texts only if they are large.
+    gone = stored(grouped.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    rows = grouped.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    again = stored(rows.where("rows > 1").select(F.col("doc_id").alias("again")), "again")
+    kept = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    first = Window.partitionBy("doc_id").orderBy("text")
+    number = "__row_of_id"
+    repeated = (
+        kept.join(again, F.col("doc_id") == F.col("again"), "left_semi")
+        .withColumn(number, F.row_number().over(first))
+        .where(F.col(number) == 1)
+        .drop(number)
+    )
+    return kept.join(again, F.col("doc_id") == F.col("again"), "left_anti").unionByName(repeated)

@@ -28,3 +28,48 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles,
     (SELECT count(*) FROM links WHERE a = doc_id) AS n_links
 FROM documents LEFT JOIN sizes USING (doc_id)
 """
+
+MIX = r"""
+WITH RECURSIVE
+sized AS (
+    SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+        -ln((('0x' || md5(coalesce(doc_id::VARCHAR, ''))[:13])::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)
+        / (1.0::DOUBLE / (1.0::DOUBLE + coalesce(10.0::DOUBLE * (length(text) - length(translate(text,
+            '*#$%&!|{}<>=@~^_', ''))) / nullif(length(text), 0), 0.0::DOUBLE))) AS key
+    FROM documents
+),
+sources AS (
+    SELECT source, sum(size)::DOUBLE AS total, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+    FROM sized GROUP BY source
+),
+weighed AS (
+    SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][place % 3 + 1] AS weight, sum(total) OVER () * 1.5 AS words
+    FROM sources
+),
+-- The excess is reshared round by round; a target that reaches its cap stays there.
+rounds AS (
+    SELECT source, total, weight, words, false AS capped, 0 AS round FROM weighed
+    UNION ALL
+    SELECT source, total, weight, words, capped OR weight * (words - sum(CASE WHEN capped THEN 2 * total ELSE 0 END) OVER ())
+        / sum(CASE WHEN capped THEN 0 ELSE weight END) OVER () > 2 * total, round + 1
+    FROM rounds WHERE round < 60
+),
+targets AS (
+    SELECT source, total, CASE WHEN capped THEN 2 * total ELSE weight * (words - sum(CASE WHEN capped THEN 2 * total
+        ELSE 0 END) OVER ()) / sum(CASE WHEN capped THEN 0 ELSE weight END) OVER () END AS target
+    FROM rounds WHERE round = 60
+),
+placed AS (
+    SELECT s.*, total, target, CASE WHEN total > 0 THEN floor(target / total) ELSE 0 END AS epochs,
+        sum(size) OVER (PARTITION BY s.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) - size AS before
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+),
+chosen AS (
+    SELECT *, epochs + CASE WHEN target - epochs * total > 0 AND 2 * before + size <= 2 * (target - epochs * total)
+        THEN 1 ELSE 0 END AS copies
+    FROM placed
+)
+SELECT doc_id, size::BIGINT AS size, total::BIGINT AS source_size, target, copies::BIGINT AS copies,
+    (copies * size)::BIGINT AS taken
+FROM chosen
+"""

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from peerlens.llm import oracles
 from peerlens.llm.language_crf import language_of
+from peerlens.llm.mixing import mix
 from peerlens.llm.ngram_join import ngram_groups
+from peerlens.llm.sharding import shard_table
+from peerlens.llm.spaced_seeds import benchmark_leaks, leaked_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +41,21 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from those that are not held out."""
     return language_of(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark texts, and which."""
+    return leaked_documents(benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+@query(oracles.MIX)
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix of all sources takes."""
+    return mix(table(spark, sf_dir, "documents")).drop("row")
+
+
+@query()
+def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of each document."""
+    return shard_table(table(spark, sf_dir, "documents"))
