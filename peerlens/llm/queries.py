@@ -12,6 +12,7 @@ from peerlens.llm.mixing import mix
 from peerlens.llm.ngram_join import ngram_groups
 from peerlens.llm.sharding import shard_table
 from peerlens.llm.spaced_seeds import benchmark_leaks, leaked_documents
+from peerlens.llm.vector_file import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +60,9 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of each document."""
     return shard_table(table(spark, sf_dir, "documents"))
+
+
+@query(oracles.TOP_K)
+def op8_vector_file_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every fiftieth."""
+    return top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
