@@ -10,6 +10,7 @@ from peerlens.llm import oracles
 from peerlens.llm.language_crf import language_of
 from peerlens.llm.mixing import mix
 from peerlens.llm.ngram_join import ngram_groups
+from peerlens.llm.passage_quality import quality_scores
 from peerlens.llm.sharding import shard_table
 from peerlens.llm.spaced_seeds import benchmark_leaks, leaked_documents
 from peerlens.llm.vector_file import top_k
@@ -66,3 +67,9 @@ def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_vector_file_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best other vectors of every fiftieth."""
     return top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
+@query()
+def op1_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labels of those that are not held out."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
