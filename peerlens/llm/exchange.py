@@ -1,9 +1,9 @@
 """Compact rows for shuffling 48-bit tokens of documents by bucket.
 
-One row carries all items that one batch of documents has for one bucket: the
-documents' 128-bit keys and sizes once, then six bytes (and a rank byte) an
-item.  Spark shuffles and groups the rows; an item row of its own would take
-several times the disk.
+Documents travel in batches.  One row carries all tokens that one batch has
+for one bucket: six bytes a token, the step from one token's document to the
+next one's, and a rank byte later on.  A document is known by its batch and
+its place in it; its 128-bit key and size travel once, in the batch's own row.
 """
 
 from __future__ import annotations
@@ -13,9 +13,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SCHEMA = "bucket int, keys binary, sizes binary, counts binary, tokens binary, ranks binary"
+SCHEMA = "bucket int, batch long, tokens binary, steps binary, ranks binary, keys binary, sizes binary"
 ARROW = pa.schema(
-    [("bucket", pa.int32()), *((name, pa.binary()) for name in ("keys", "sizes", "counts", "tokens", "ranks"))]
+    [
+        ("bucket", pa.int32()),
+        ("batch", pa.int64()),
+        *((name, pa.binary()) for name in ("tokens", "steps", "ranks", "keys", "sizes")),
+    ]
 )
 TOKEN_BITS = 48
 
@@ -35,70 +39,48 @@ def bucket_of(values: np.ndarray, bits: int, buckets: int) -> np.ndarray:
     return ((values >> np.uint64(bits - 20)).astype(np.int64) * buckets) >> 20
 
 
+def table_of(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(ARROW)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, ARROW.types)], schema=ARROW)
+
+
+def token_row(bucket: int, batch: int, tokens: np.ndarray, places: np.ndarray, ranks: np.ndarray | None) -> tuple:
+    """One row; ``places`` are the tokens' documents in the batch, ascending."""
+    steps = np.diff(places, prepend=0).astype("<u2").tobytes()
+    return bucket, batch, pack48(tokens), steps, b"" if ranks is None else ranks.tobytes(), b"", b""
+
+
+def deal(batch: int, tokens: np.ndarray, places: np.ndarray, buckets: int) -> list[tuple]:
+    """The rows of one batch, by token range."""
+    to = bucket_of(tokens, TOKEN_BITS, buckets)
+    to = to.astype(np.uint16) if buckets <= 1 << 16 else to
+    order = np.argsort(to, kind="stable")
+    tokens, places = tokens[order], places[order]
+    present, cuts = np.unique(to[order], return_index=True)
+    return [
+        token_row(b, batch, tokens[x:y], places[x:y], None)
+        for b, x, y in zip(present.tolist(), cuts, [*cuts[1:], len(order)])
+    ]
+
+
 @dataclass
-class Items:
-    """Documents (key, size) and their tokens, those of a document together."""
+class Tokens:
+    """The tokens of some rows one after another; ``row`` says which row each is of."""
 
-    keys: np.ndarray  # (documents, 2) uint64
-    sizes: np.ndarray  # documents
-    counts: np.ndarray  # tokens of each document
+    batches: np.ndarray
+    row: np.ndarray
     tokens: np.ndarray
+    places: np.ndarray
     ranks: np.ndarray
 
-    def select(self, keep: np.ndarray) -> Items:
-        """Only the tokens marked; documents left without any go too."""
-        owner = np.repeat(np.arange(len(self.counts)), self.counts)[keep]
-        counts = np.bincount(owner, minlength=len(self.counts))
-        has = counts > 0
-        return Items(self.keys[has], self.sizes[has], counts[has], self.tokens[keep], self.ranks[keep])
-
-    def pack(self, bucket: np.ndarray, buckets: int) -> pa.RecordBatch:
-        """One row for each bucket that any token goes to."""
-        small = bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket
-        order = np.argsort(small, kind="stable")
-        owner = np.repeat(np.arange(len(self.counts)), self.counts)[order]
-        tokens, ranks = self.tokens[order], self.ranks[order]
-        present, cuts = np.unique(small[order], return_index=True)
-        rows: list[tuple] = []
-        for b, low, high in zip(present.tolist(), cuts, [*cuts[1:], len(order)]):
-            mine = owner[low:high]
-            heads = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
-            docs, counts = mine[heads], np.diff(np.r_[heads, len(mine)])
-            rows.append(
-                (
-                    b,
-                    self.keys[docs].tobytes(),
-                    self.sizes[docs].astype("<u4").tobytes(),
-                    counts.astype("<u4").tobytes(),
-                    pack48(tokens[low:high]),
-                    ranks[low:high].astype(np.uint8).tobytes(),
-                )
-            )
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), ARROW.types)], schema=ARROW)
-
-
-def unpack(table: pa.Table) -> Items:
-    """All items of some rows, one after another."""
-    got = {name: b"".join(table.column(name).to_pylist()) for name in ARROW.names[1:]}
-    return Items(
-        np.frombuffer(got["keys"], "<u8").reshape(-1, 2),
-        np.frombuffer(got["sizes"], "<u4").astype(np.int64),
-        np.frombuffer(got["counts"], "<u4").astype(np.int64),
-        unpack48(got["tokens"]),
-        np.frombuffer(got["ranks"], np.uint8),
-    )
-
-
-def merge(parts: list[Items]) -> Items:
-    return Items(*(np.concatenate([getattr(p, f) for p in parts]) for f in Items.__dataclass_fields__))
-
-
-def first_of_each_key(items: Items) -> np.ndarray:
-    """Marks the tokens of the first entry of each document key."""
-    order = np.lexsort((items.keys[:, 1], items.keys[:, 0]))
-    keys = items.keys[order]
-    again = np.zeros(len(order), bool)
-    again[1:] = (keys[1:] == keys[:-1]).all(axis=1)
-    keep = np.ones(len(order), bool)
-    keep[order] = ~again
-    return np.repeat(keep, items.counts)
+
+def unpack(table: pa.Table) -> Tokens:
+    raw = table.column("tokens").to_pylist()
+    counts = np.array([len(t) // 6 for t in raw], np.int64)
+    tokens = unpack48(b"".join(raw))
+    places = np.cumsum(np.frombuffer(b"".join(table.column("steps").to_pylist()), "<u2"), dtype=np.int64)
+    starts = np.concatenate([[0], np.cumsum(counts)])[:-1]
+    before = np.concatenate([[0], places])[starts]
+    places = places - np.repeat(before, counts)
+    ranks = np.frombuffer(b"".join(table.column("ranks").to_pylist()), np.uint8)
+    return Tokens(table.column("batch").to_numpy(), np.repeat(np.arange(len(counts)), counts), tokens, places, ranks)

@@ -1,15 +1,15 @@
 """Exact n-gram Jaccard self-join by a grouped prefix join.
 
 1. Each text becomes its set of word n-grams (64-bit hashes, 48 bits kept as
-   tokens).  Equal sets are one class from the start: a class is keyed by a
-   128-bit digest, and within a batch of texts it is sent on once.
-2. Tokens are dealt out by token range.  There every token's frequency among
-   the classes is counted exactly; only tokens of two classes or more go on,
-   as no other can be in an intersection.
-3. Dealt out by class, tokens are ordered from rare to frequent.  Two sets
-   that link share a token among the first ``n - ceil(t n) + 1`` of each.  A
-   class whose own tokens fill its prefix links with nothing and ends here.
-   Classes of equal size and equal shared prefix form one group.
+   tokens).  Equal sets are one class, keyed by a 128-bit digest; within a batch
+   of texts a class is sent on once.
+2. Tokens are dealt out by token range.  There every token's frequency is
+   counted exactly; only tokens of two documents or more go on, as no other
+   can be in an intersection.
+3. Back together by batch, tokens are ordered from rare to frequent.  Two sets
+   that link share a token among the first ``n - ceil(t n) + 1`` of each.  A set
+   whose own tokens fill its prefix links with nothing and ends here.  Sets of
+   equal size and equal shared prefix form one group.
 4. Groups that share a prefix token and lie in the same or the next size band
    are joined to their list's smallest group, in each batch first: a list is
    never expanded into pairs.  Components of these joins are candidates.
@@ -33,15 +33,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerlens.llm import exchange
-from peerlens.llm.exchange import Items, bucket_of, first_of_each_key, merge, pack48, unpack, unpack48
+from peerlens.llm.exchange import bucket_of, pack48, unpack48
 from peerlens.llm.store import components, discard, stored
 from peerlens.llm.words import U64, distinct_windows, mix, sums_by, texts_of
 
 BATCH_TOKENS = 1 << 21
+BATCH_DOCUMENTS = 60_000
 BUCKET_TOKENS = 1 << 21
 BLOCK = 512
 COLUMNS = 4096
@@ -75,79 +78,83 @@ def set_sizes(size: int):
 
 
 def deal_tokens(size: int, buckets: int):
-    """Map function: the tokens of all classes by token range."""
+    """Map function: the tokens of all texts by token range, a set that repeats within a batch once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[Items] = []
-        count = 0
+        task = TaskContext.get().partitionId()
+        number, seen, held, documents, count = 0, set(), [], [], 0
 
         def flush() -> pa.RecordBatch:
-            items = merge(held)
-            items = items.select(first_of_each_key(items))
-            return items.pack(bucket_of(items.tokens, exchange.TOKEN_BITS, buckets), buckets)
-
-        for batch in batches:
-            for texts in texts_of(batch.column("text")):
+            batch = (task << 32) + number
+            keys, sizes = (np.concatenate([d[k] for d in documents]) for k in (0, 1))
+            places = np.repeat(np.arange(len(sizes)), sizes)
+            rows = exchange.deal(batch, np.concatenate(held), places, buckets)
+            own = (int(batch % buckets), batch, b"", b"", b"", keys.tobytes(), sizes.astype("<u4").tobytes())
+            return exchange.table_of([*rows, own])
+
+        for given in batches:
+            for texts in texts_of(given.column("text")):
                 h, first = distinct_windows(texts, size)
-                if not len(h):
-                    continue
                 keys, sizes = _keys(h, first), np.diff(first)
-                has = sizes > 0
-                tokens = h >> U64(64 - exchange.TOKEN_BITS)
-                held.append(Items(keys[has], sizes[has], sizes[has], tokens, np.zeros(len(tokens), np.uint8)))
-                count += len(tokens)
-                if count >= BATCH_TOKENS:
+                fresh = sizes > 0
+                for place in np.flatnonzero(fresh):
+                    key = keys[place].tobytes()
+                    fresh[place] = key not in seen
+                    seen.add(key)
+                if not fresh.any():
+                    continue
+                if count and (count + len(h) > BATCH_TOKENS or len(seen) > BATCH_DOCUMENTS):
                     yield flush()
-                    held, count = [], 0
-        if held:
+                    number, seen, held, documents, count = number + 1, set(), [], [], 0
+                    seen.update(k.tobytes() for k in keys[fresh])
+                tokens = h[np.repeat(fresh, sizes)] >> U64(64 - exchange.TOKEN_BITS)
+                held.append(tokens)
+                documents.append((keys[fresh], sizes[fresh]))
+                count += len(tokens)
+        if documents:
             yield flush()
 
     return run
 
 
-def count_tokens(buckets: int):
-    """Group function: tokens of two classes or more, with their frequency's rank, by class."""
-
-    def run(table: pa.Table) -> pa.Table:
-        items = unpack(table)
-        items = items.select(first_of_each_key(items))
-        order = np.argsort(items.tokens)
-        ordered = items.tokens[order]
-        heads = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        lengths = np.diff(np.r_[heads, len(ordered)])
-        frequency = np.empty(len(ordered), np.int64)
-        frequency[order] = np.repeat(lengths, lengths)
-        items.ranks = np.minimum(255, 4 * np.log2(frequency)).astype(np.uint8)
-        items = items.select(frequency > 1)
-        if not len(items.tokens):
-            return exchange.ARROW.empty_table()
-        owner = np.repeat(np.arange(len(items.counts)), items.counts)
-        to = bucket_of(items.keys[:, 0], 64, buckets)[owner]
-        return pa.Table.from_batches([items.pack(to, buckets)])
-
-    return run
+def count_tokens(table: pa.Table) -> pa.Table:
+    """Group function: tokens of two documents or more, with their frequency's rank, by batch."""
+    own = pc.greater(pc.binary_length(table.column("keys")), 0)
+    passed = table.filter(own)
+    got = exchange.unpack(table.filter(pc.invert(own)))
+    order = np.argsort(got.tokens)
+    ordered = got.tokens[order]
+    heads = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)])
+    lengths = np.diff(np.r_[heads, len(ordered)])
+    frequency = np.empty(len(ordered), np.int64)
+    frequency[order] = np.repeat(lengths, lengths)
+    keep = np.flatnonzero(frequency > 1)
+    ranks = np.minimum(255, 4 * np.log2(frequency[keep])).astype(np.uint8)
+    row, tokens, places = got.row[keep], got.tokens[keep], got.places[keep]
+    cuts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]][: len(row)])
+    rows = [
+        exchange.token_row(0, int(got.batches[row[x]]), tokens[x:y], places[x:y], ranks[x:y])
+        for x, y in zip(cuts, [*cuts[1:], len(row)])
+    ]
+    return pa.concat_tables([passed, pa.Table.from_batches([exchange.table_of(rows)])])
 
 
 SETS = "k1 long, k2 long, n long, prefix int, family long, tokens binary"
 
 
 def find_prefixes(percent: int):
-    """Group function: classes whose prefix holds shared tokens, tokens from rare to frequent."""
+    """Group function: the documents of a batch whose prefix holds shared tokens, these from rare to frequent."""
 
     def run(table: pa.Table) -> pa.Table:
-        items = unpack(table)
-        number = np.lexsort((items.keys[:, 1], items.keys[:, 0]))
-        sorted_keys = items.keys[number]
-        fresh = np.r_[True, (sorted_keys[1:] != sorted_keys[:-1]).any(axis=1)]
-        class_of = np.empty(len(number), np.int64)
-        class_of[number] = np.cumsum(fresh) - 1
-        keys, sizes = sorted_keys[fresh], items.sizes[number][fresh]
-        owner = np.repeat(class_of, items.counts)
+        got = exchange.unpack(table)
+        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), "<u8").reshape(-1, 2)
+        sizes = np.frombuffer(b"".join(table.column("sizes").to_pylist()), "<u4").astype(np.int64)
+        owner = got.places
         shared = np.bincount(owner, minlength=len(keys))
         prefix = sizes - -(-sizes * percent // 100) + 1 - (sizes - shared)
         keep = (prefix > 0)[owner]
-        order = np.lexsort((items.tokens[keep], items.ranks[keep], owner[keep]))
-        tokens, owner = items.tokens[keep][order], owner[keep][order]
+        order = np.lexsort((got.tokens[keep], got.ranks[keep], owner[keep]))
+        tokens, owner = got.tokens[keep][order], owner[keep][order]
         live = np.flatnonzero(prefix > 0)
         first = np.searchsorted(owner, np.r_[live, len(keys)])
         place = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
@@ -337,18 +344,21 @@ def ngram_groups(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFram
     buckets = max(1, math.ceil(total / BUCKET_TOKENS))
 
     dealt = known.select("text").mapInArrow(deal_tokens(words, buckets), exchange.SCHEMA)
-    shared = dealt.groupBy("bucket").applyInArrow(count_tokens(buckets), exchange.SCHEMA)
-    sets = stored(shared.groupBy("bucket").applyInArrow(find_prefixes(percent), SETS), "sets")
+    shared = dealt.groupBy("bucket").applyInArrow(count_tokens, exchange.SCHEMA)
+    sets = stored(shared.groupBy("batch").applyInArrow(find_prefixes(percent), SETS), "sets")
 
     lists = sets.select("n", "prefix", "family", "tokens").mapInArrow(join_within_batch(buckets), JOINS)
     links = lists.groupBy("bucket").applyInArrow(join_lists, "a long, b long")
     candidates = components(links).withColumnRenamed("node", "family").withColumnRenamed("component", "comp")
+    # A class comes once from each batch that has a copy; all its rows are the same.
+    copy = Window.partitionBy("k1", "k2").orderBy("n")
     members = (
         sets.select("k1", "k2", "n", "family", "tokens")
-        .join(candidates, "family", "left")
-        .withColumn("comp", F.coalesce("comp", "family"))
         .join(classes, ["k1", "k2"])
-        .select("comp", "cid", "copies", "n", "tokens")
+        .withColumn("copy", F.row_number().over(copy))
+        .where("copy = 1")
+        .join(candidates, "family", "left")
+        .select(F.coalesce("comp", "family").alias("comp"), "cid", "copies", "n", "tokens")
     )
     members = stored(members, "members")
     tasks = _blocks(members).withColumn("task", F.expr(f"pmod(xxhash64(comp, i, j), {4 * buckets})"))
