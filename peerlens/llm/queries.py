@@ -13,6 +13,7 @@ from peerlens.llm.ngram_join import ngram_groups
 from peerlens.llm.passage_quality import quality_scores
 from peerlens.llm.sharding import shard_table
 from peerlens.llm.spaced_seeds import benchmark_leaks, leaked_documents
+from peerlens.llm.suffix_repeats import repeated_passages
 from peerlens.llm.vector_file import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +74,9 @@ def op8_vector_file_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents, learned from the labels of those that are not held out."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op9_suffix_array_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of 50 words or more that all documents have in common with others."""
+    return repeated_passages(table(spark, sf_dir, "documents"), length=50)
