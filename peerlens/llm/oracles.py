@@ -86,3 +86,57 @@ scored AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM scored QUALIFY rank <= 5
 """
+
+
+def _license_scan() -> str:
+    spelled = r"regexp_replace(lower(text), '(?m)^[ \t]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$', '', 'g')"
+    # The spellings treated as equal.
+    for variant, canonical in (
+        ("licence", "license"),
+        ("sub-license", "sublicense"),
+        ("sub license", "sublicense"),
+        ("non-commercial", "noncommercial"),
+        ("non commercial", "noncommercial"),
+        ("acknowledgement", "acknowledgment"),
+        ("merchantibility", "merchantability"),
+        ("per cent", "percent"),
+        ("favour", "favor"),
+        ("honour", "honor"),
+        ("organisation", "organization"),
+        ("redistribution and use in source or", "redistribution and use in source and"),
+    ):
+        spelled = f"replace({spelled}, '{variant}', '{canonical}')"
+    words = r"trim(regexp_replace({}, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+    # The notices that occur as lines; none of the full texts does.
+    notices = {
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "Released under the MIT License.": "MIT",
+        "Licensed under the MIT License.": "MIT",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "Licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        "Licensed under CC0 1.0.": "CC0-1.0",
+    }
+    values = ", ".join(f"('{t}', '{k}')" for t, k in notices.items())
+    return f"""
+WITH known AS (
+    SELECT {words.format("lower(t)")} AS canonical, license FROM (VALUES {values}) v(t, license)
+),
+spelled AS (SELECT doc_id, {spelled} AS text FROM documents),
+whole AS (SELECT doc_id, text, {words.format("text")} AS canonical FROM spelled),
+lines AS (
+    SELECT doc_id, {words.format("line")} AS canonical
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM spelled)
+),
+found AS (
+    SELECT doc_id, array_to_string(list_sort(list_distinct(list(license))), ',') AS names, count(*) AS n
+    FROM lines JOIN known USING (canonical) GROUP BY doc_id
+)
+SELECT whole.doc_id, CASE WHEN whole.canonical <> '' THEN sha256(whole.canonical) END AS text_digest,
+    known.license AS text_license, names AS line_licenses, coalesce(n, 0) AS n_license_lines
+FROM whole LEFT JOIN known ON known.canonical = whole.canonical LEFT JOIN found ON found.doc_id = whole.doc_id
+"""
+
+
+LICENSE_SCAN = _license_scan()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from peerlens.llm import oracles
 from peerlens.llm.language_crf import language_of
+from peerlens.llm.license_scan import license_scan
 from peerlens.llm.mixing import mix
 from peerlens.llm.ngram_join import ngram_groups
 from peerlens.llm.passage_quality import quality_scores
@@ -15,6 +16,7 @@ from peerlens.llm.sharding import shard_table
 from peerlens.llm.spaced_seeds import benchmark_leaks, leaked_documents
 from peerlens.llm.suffix_repeats import repeated_passages
 from peerlens.llm.vector_file import top_k
+from peerlens.llm.warc import derive, described, responses
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +82,15 @@ def op1_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_array_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of 50 words or more that all documents have in common with others."""
     return repeated_passages(table(spark, sf_dir, "documents"), length=50)
+
+
+@query()
+def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata and conversion records of all pages, by their fields and digests."""
+    return described(derive(responses(table(spark, sf_dir, "pages"))))
+
+
+@query(oracles.LICENSE_SCAN)
+def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that whole documents, or whole lines of them, are."""
+    return license_scan(table(spark, sf_dir, "documents"))
