@@ -294,8 +294,58 @@ AGE_COUNTS = [c for c in age_features() if c.startswith("popn_")]
 
 def sums(rule: str) -> str:
     columns = ", ".join(f"round({rule.format(c=c)}, 6) AS {c}" for c in ("size_score", "price_score"))
-    return f"SELECT substring(geo_code, 1, 4) AS area_group, {columns} FROM v_geo GROUP BY 1"
+    return f"SELECT area_group, {columns} FROM v_brand_area GROUP BY 1"
+
+
+def lloyd(columns: Sequence[str], runs: Sequence[tuple[int, int]], iterations: int = 20) -> str:
+    """All runs ``(k, seed)`` of k-means over ``points``, iteration by iteration, as CTEs.
+
+    They end in ``labels`` (org_code, run, c, d: squared distance), ``fits``
+    (run, k, seed, cost) and ``vectors`` (org_code, v).
+    """
+    listed = ", ".join(f"({i}, {k}, {seed})" for i, (k, seed) in enumerate(runs))
+    steps = [
+        f"vectors AS MATERIALIZED (SELECT org_code, [{q(columns)}] AS v FROM points)",
+        "pts AS MATERIALIZED (SELECT min(org_code) AS key, count(*) AS copies, v FROM vectors GROUP BY v)",
+        f"runs(run, k, seed) AS (VALUES {listed})",
+        """c0 AS MATERIALIZED (SELECT run, place AS c, v FROM (
+             SELECT run, k, v, row_number() OVER (PARTITION BY run ORDER BY md5(seed || ':' || key), key) AS place
+             FROM pts JOIN runs ON true) WHERE place <= k)""",
+    ]
+    for i in range(iterations):
+        steps += [
+            f"""n{i} AS MATERIALIZED (SELECT run, c, v, copies FROM (
+                  SELECT c{i}.run, c, pts.v, copies,
+                         row_number() OVER (PARTITION BY c{i}.run, key ORDER BY list_distance(pts.v, c{i}.v), c) AS place
+                  FROM pts JOIN c{i} ON true) WHERE place = 1)""",
+            f"""m{i} AS (SELECT run, c, list(x ORDER BY j) AS v FROM (
+                  SELECT run, c, j, sum(copies * x) / sum(copies) AS x
+                  FROM (SELECT run, c, copies, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM n{i})
+                  GROUP BY run, c, j) GROUP BY run, c)""",
+            f"""c{i + 1} AS MATERIALIZED (SELECT c{i}.run, c{i}.c, coalesce(m{i}.v, c{i}.v) AS v
+                  FROM c{i} LEFT JOIN m{i} ON c{i}.run = m{i}.run AND c{i}.c = m{i}.c)""",
+        ]
+    last = f"c{iterations}"
+    steps += [
+        f"""labels AS MATERIALIZED (SELECT org_code, run, c, dist * dist AS d FROM (
+              SELECT org_code, {last}.run, c, list_distance(vectors.v, {last}.v) AS dist,
+                     row_number() OVER (PARTITION BY {last}.run, org_code ORDER BY list_distance(vectors.v, {last}.v), c) AS place
+              FROM vectors JOIN {last} ON true) WHERE place = 1)""",
+        "fits AS (SELECT run, k, seed, sum(d) AS cost FROM labels JOIN runs USING (run) GROUP BY ALL)",
+    ]
+    return ", ".join(steps)
+
+
+def best_clusters(key: str) -> str:
+    """The labels of the best run, numbered by size and smallest key."""
+    return f"""best AS (SELECT run FROM fits ORDER BY round(cost, 9), seed LIMIT 1),
+        chosen AS (SELECT org_code, c FROM labels WHERE run = (SELECT run FROM best)),
+        numbered AS (SELECT c, row_number() OVER (ORDER BY count(*) DESC, min(org_code)) AS cluster FROM chosen GROUP BY c)
+        SELECT org_code AS "{key}", CAST(cluster AS INTEGER) AS cluster FROM chosen JOIN numbered USING (c)"""
+
 
+STARTS = [(5, s) for s in range(1, 21)]
+SWEEP = [(k, 1) for k in range(2, 11)]
 
 EMBEDDED = "e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
 
@@ -305,6 +355,23 @@ _NOTICE = (
     "<br>Contains OS data © Crown copyright and database right [2023]"
 )
 
+# Popup labels, style and notice of the markers.
+MAP_LAYER = f"""WITH {ORG_INDEX},
+        people AS (SELECT prac_code, CAST(sum(reg_popn) AS BIGINT) AS popn FROM base GROUP BY 1),
+        markers AS (SELECT o.*, p.popn, CAST(p.popn % 7 + 1 AS INTEGER) AS cluster
+                    FROM org_index o LEFT JOIN people p ON o.org_code = p.prac_code)
+        SELECT org_code AS ORG_CODE, org_name AS ORG_NAME, postcode AS POSTCODE, popn AS POPN, icb_code AS ICB_CODE,
+               icb_name AS ICB_NAME, nhser_code AS NHSER_CODE, nhser_name AS NHSER_NAME,
+               round(latitude, 6) AS LATITUDE, round(longitude, 6) AS LONGITUDE, cluster,
+               CAST(cluster AS STRING) AS layer,
+               CASE cluster {" ".join(f"WHEN {i + 1} THEN '{c}'" for i, c in enumerate(_PALETTE))} END AS fill_color,
+               'Practice: ' || coalesce(org_name, 'NA') || ' - [' || coalesce(org_code, 'NA') || ']<br>' ||
+               'ICB: ' || coalesce(icb_name, 'NA') || ' - [' || coalesce(icb_code, 'NA') || ']<br>' ||
+               'Region: ' || coalesce(nhser_name, 'NA') || ' - [' || coalesce(nhser_code, 'NA') || ']<br>' ||
+               'Popn: ' || coalesce(format('{{:,}}', popn), 'NA') AS popup,
+               1 AS weight, 5 AS radius, 'black' AS color, CAST(0.8 AS DOUBLE) AS fill_opacity,
+               '{_NOTICE}' AS attribution FROM markers"""
+
 _RAW: dict[str, str] = {
     "scan_project_rename": """
         SELECT CAST(s_suppkey AS STRING) AS org_code, s_name AS org_name, round(s_acctbal, 6) AS balance,
@@ -315,6 +382,10 @@ _RAW: dict[str, str] = {
     "multi_file_union": """
         SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, CASE WHEN l_linenumber <> 7 THEN l_tax END AS l_tax
         FROM lineitem""",
+    "extracts_union": """
+        SELECT l_orderkey AS order_key, l_linenumber AS line, l_quantity AS quantity,
+               CASE WHEN l_linenumber <> 7 THEN l_tax END AS tax FROM lineitem""",
+    "age_union": "SELECT prac_code, age, popn, gender FROM v_age",
     "snapshot_refresh": f"WITH {GAP_PAIRS} {top(NEAR)}",
     "active_filter": f"WITH {ACTIVE} SELECT * FROM active",
     "prefix_filter_dq": """
@@ -401,6 +472,20 @@ _RAW: dict[str, str] = {
         SELECT n.org_code, CAST(m.cluster AS INTEGER) AS cluster, round(n.d, 6) AS squared_distance
         FROM nearest n JOIN numbered m ON n.s = m.s""",
     "total_ss": f"WITH {POINTS} SELECT round(sum({' + '.join(f'{f} * {f}' for f in FEATURES)}), 6) AS wss FROM points",
+    "kmeans_best_of": f"WITH {POINTS}, {lloyd(FEATURES, STARTS)}, {best_clusters('org_code')}",
+    "wss_sweep": f"""WITH {POINTS}, {lloyd(FEATURES, SWEEP)}
+        SELECT k, round(cost, 6) AS wss FROM fits
+        UNION ALL SELECT 1, round(sum({' + '.join(f'{f} * {f}' for f in FEATURES)}), 6) FROM points""",
+    "silhouette_sweep": f"""WITH {POINTS}, {lloyd(FEATURES, SWEEP)},
+        apart AS (SELECT a.org_code AS x, b.org_code AS y, list_distance(a.v, b.v) AS dist
+                  FROM vectors a JOIN vectors b ON a.org_code <> b.org_code),
+        means AS (SELECT x, p.run, p.c AS own, o.c AS other, sum(dist) / count(*) AS m
+                  FROM apart JOIN labels p ON p.org_code = x JOIN labels o ON o.org_code = y AND o.run = p.run GROUP BY ALL),
+        sides AS (SELECT x, run, max(CASE WHEN own = other THEN m END) AS a, min(CASE WHEN own <> other THEN m END) AS b
+                  FROM means GROUP BY ALL)
+        SELECT k, round(avg(CASE WHEN a IS NULL THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END), 6)
+               AS mean_silhouette FROM sides JOIN runs USING (run) GROUP BY k
+        UNION ALL SELECT 1, 0""",
     "silhouette_labels": f"""WITH {EMBEDDED},
         d AS (SELECT a.vec_id AS key, a.label AS own, b.label AS other, sum(list_distance(a.v, b.v)) / count(*) AS m
               FROM e a JOIN e b ON a.vec_id <> b.vec_id GROUP BY 1, 2, 3),
@@ -408,25 +493,18 @@ _RAW: dict[str, str] = {
               FROM d GROUP BY 1, 2)
         SELECT key, own AS label, round(CASE WHEN a IS NULL THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END, 6)
                AS width FROM s""",
-    "map_layer": f"""WITH {ORG_INDEX},
-        people AS (SELECT prac_code, CAST(sum(reg_popn) AS BIGINT) AS popn FROM base GROUP BY 1),
-        markers AS (SELECT o.*, p.popn, CAST(p.popn % 7 + 1 AS INTEGER) AS cluster
-                    FROM org_index o LEFT JOIN people p ON o.org_code = p.prac_code)
-        SELECT org_code AS ORG_CODE, org_name AS ORG_NAME, postcode AS POSTCODE, popn AS POPN, icb_code AS ICB_CODE,
-               icb_name AS ICB_NAME, nhser_code AS NHSER_CODE, nhser_name AS NHSER_NAME,
-               round(latitude, 6) AS LATITUDE, round(longitude, 6) AS LONGITUDE, cluster,
-               CAST(cluster AS STRING) AS layer,
-               CASE cluster {" ".join(f"WHEN {i + 1} THEN '{c}'" for i, c in enumerate(_PALETTE))} END AS fill_color,
-               'Practice: ' || coalesce(org_name, 'NA') || ' - [' || coalesce(org_code, 'NA') || ']<br>' ||
-               'ICB: ' || coalesce(icb_name, 'NA') || ' - [' || coalesce(icb_code, 'NA') || ']<br>' ||
-               'Region: ' || coalesce(nhser_name, 'NA') || ' - [' || coalesce(nhser_code, 'NA') || ']<br>' ||
-               'Popn: ' || coalesce(format('{{:,}}', popn), 'NA') AS popup,
-               1 AS weight, 5 AS radius, 'black' AS color, CAST(0.8 AS DOUBLE) AS fill_opacity,
-               '{_NOTICE}' AS attribution FROM markers""",
+    "map_layer": MAP_LAYER,
+    "map_layer_of_cluster": f"SELECT * FROM ({MAP_LAYER}) WHERE cluster = 3",
     "full_index": final(FULL_CTES, "wide", FULL_EXACT, FULL_DOUBLES),
     "full_index_parent": final(PARENT_CTES, "wide", PARENT_EXACT, PARENT_DOUBLES),
     "index_neighbours": f"WITH {FULL_CTES}, {scaled('z', 'wide', 'ORG_CODE', SIMILAR)}, {pairs('z', SIMILAR)} "
     f"{top(NEAR, 'nearest')} UNION ALL {top(FAR, 'farthest')}",
+    "index_neighbours_parent": f"WITH {PARENT_CTES}, {scaled('z', 'wide', 'ORG_CODE', SIMILAR)}, {pairs('z', SIMILAR)} "
+    f"{top(NEAR, 'nearest')} UNION ALL {top(FAR, 'farthest')}",
+    "index_clusters": f"WITH {FULL_CTES}, {scaled('points', 'wide', 'ORG_CODE', SIMILAR, zero=True)}, "
+    f"{lloyd(SIMILAR, [(7, s) for s in range(1, 21)])}, {best_clusters('ORG_CODE')}",
+    "index_clusters_parent": f"WITH {PARENT_CTES}, {scaled('points', 'wide', 'ORG_CODE', SIMILAR, zero=True)}, "
+    f"{lloyd(SIMILAR, [(5, s) for s in range(1, 21)])}, {best_clusters('ORG_CODE')}",
 }
 
 ORACLES: dict[str, str] = {name: with_views(sql) for name, sql in _RAW.items()}

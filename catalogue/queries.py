@@ -21,8 +21,9 @@ from peerlens.plans import geo_features as geo
 from peerlens.plans import index as index_plan
 from peerlens.plans import org_features as org
 from peerlens.plans import organisations as orgs
+from peerlens.plans.jobs import CLUSTERS
 from peerlens.plans.names import DEPRIVATION, ETHNIC_GROUPS, INDICATORS, similarity_features
-from peerlens.sources.readers import read_csv, read_snapshot, union_by_name
+from peerlens.sources.readers import read_csv, read_csv_all, read_csv_parts, read_snapshot, rows_of_layer, union_by_name
 from peerlens.sources.sinks import write_csv, write_snapshot
 from peerlens.sources.staging import new_folder, stage
 
@@ -64,11 +65,35 @@ def csv_roundtrip(spark, sf):
     return union_by_name(parts)
 
 
+def _extracts(spark, sf) -> list[str]:
+    """The lines as seven delimited extracts, written in one pass; the last one lacks a column."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").alias("line"), "l_linenumber", "l_partkey", "l_quantity", "l_tax"
+    )
+    home = new_folder(spark, "extracts")
+    write_csv(lines.filter(F.col("l_linenumber") < 7), home, partition_by=["line"])
+    write_csv(lines.filter(F.col("l_linenumber") == 7).drop("line", "l_tax"), f"{home}/line=7")
+    return [f"{home}/line={n}" for n in range(1, 8)]
+
+
 def multi_file_union(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_tax")
-    parts = [lines.filter(F.col("l_linenumber") == n) for n in range(1, 8)]
-    parts[6] = parts[6].drop("l_tax")
-    return union_by_name(parts)
+    parts = [read_csv_all(spark, path) for path in _extracts(spark, sf)]
+    united = union_by_name(parts)
+    return united.select(
+        F.col("l_orderkey").cast("bigint"), F.col("l_linenumber").cast("int"), F.col("l_partkey").cast("bigint"),
+        F.col("l_quantity").cast("double"), F.col("l_tax").cast("double"),
+    )
+
+
+def extracts_union(spark, sf):
+    fields = [(1, "order_key", "bigint"), (2, "line", "int"), (4, "quantity", "double"), (5, "tax", "double")]
+    return read_csv_parts(spark, _extracts(spark, sf), fields)
+
+
+def age_union(spark, sf):
+    ages = view(spark, sf, "v_age")
+    females, males = (ages.filter(F.col("gender") == g).drop("gender") for g in ("females", "males"))
+    return org.age_table(females, males)
 
 
 def snapshot_refresh(spark, sf):
@@ -159,17 +184,13 @@ def multi_left_join_unpivot(spark, sf):
 # --- aggregates and apportionment ------------------------------------------------------------
 
 
-def _area_groups(spark, sf) -> DataFrame:
-    return view(spark, sf, "v_geo").withColumn("area_group", F.substring("geo_code", 1, 4))
-
-
 def sum_ignore_null(spark, sf):
-    return rounded(grouped_sums(_area_groups(spark, sf), ["area_group"], ["size_score", "price_score"]))
+    return rounded(grouped_sums(view(spark, sf, "v_brand_area"), ["area_group"], ["size_score", "price_score"]))
 
 
 def sum_poison_null(spark, sf):
     return rounded(
-        grouped_sums(_area_groups(spark, sf), ["area_group"], ["size_score", "price_score"], missing="poison")
+        grouped_sums(view(spark, sf, "v_brand_area"), ["area_group"], ["size_score", "price_score"], missing="poison")
     )
 
 
@@ -183,7 +204,7 @@ def apportion_org(spark, sf):
 
 
 def apportion_parent(spark, sf):
-    return rounded(ap.apportion(_geo_long(spark, sf), ap.parent_weights(_base(spark, sf))))
+    return rounded(ap.apportion(_geo_long(spark, sf), ap.parent_weights(_base(spark, sf)), ["size_score", "price_score"]))
 
 
 def density_apportion(spark, sf):
@@ -326,6 +347,12 @@ def map_layer_rows(spark, sf):
     return rounded(map_layer(index, clusters))
 
 
+def map_layer_of_cluster(spark, sf):
+    path = new_folder(spark, "map")
+    write_snapshot(map_layer_rows(spark, sf), path, ["cluster"])
+    return rows_of_layer(spark, path, 3)
+
+
 # --- whole jobs --------------------------------------------------------------------------------------------
 
 
@@ -355,28 +382,50 @@ def full_index(spark, sf):
 
 
 def full_index_parent(spark, sf):
+    return rounded(_parent_table(spark, sf))
+
+
+def _parent_table(spark, sf) -> DataFrame:
     s = sources(spark, sf)
-    return rounded(index_plan.parent_table(s, index_plan.stored_area_sums(s)))
+    return index_plan.parent_table(s, index_plan.stored_area_sums(s))
 
 
-def index_neighbours(spark, sf):
+def _neighbours_of(wide: DataFrame) -> DataFrame:
     features = similarity_features(CONDITIONS)
-    index = stage(_practice_table(spark, sf).select("ORG_CODE", *features), "index")
+    index = stage(wide.select("ORG_CODE", *features), "index")
     vectors = as_vectors(standardise(index, ["ORG_CODE"], features), "ORG_CODE", features)
     return rounded(neighbours.nearest_and_farthest(vectors))
 
 
-def index_clusters(spark, sf):
+def _clusters_of(wide: DataFrame, k: int) -> DataFrame:
     features = similarity_features(CONDITIONS)
-    index = stage(_practice_table(spark, sf).select("ORG_CODE", *features), "index")
+    index = stage(wide.select("ORG_CODE", *features), "index")
     points = stage(clustering.cluster_input(index, "ORG_CODE", features), "points")
-    return clustering.kmeans_best_of(points, k=7).withColumnRenamed("key", "ORG_CODE")
+    return clustering.kmeans_best_of(points, k=k).withColumnRenamed("key", "ORG_CODE")
+
+
+def index_neighbours(spark, sf):
+    return _neighbours_of(_practice_table(spark, sf))
+
+
+def index_neighbours_parent(spark, sf):
+    return _neighbours_of(_parent_table(spark, sf))
+
+
+def index_clusters(spark, sf):
+    return _clusters_of(_practice_table(spark, sf), CLUSTERS["practice"])
+
+
+def index_clusters_parent(spark, sf):
+    return _clusters_of(_parent_table(spark, sf), CLUSTERS["pcn"])
 
 
 QUERIES: dict[str, Query] = {
     "scan_project_rename": scan_project_rename,
     "csv_roundtrip": csv_roundtrip,
     "multi_file_union": multi_file_union,
+    "extracts_union": extracts_union,
+    "age_union": age_union,
     "snapshot_refresh": snapshot_refresh,
     "active_filter": active_filter,
     "prefix_filter_dq": prefix_filter_dq,
@@ -419,8 +468,11 @@ QUERIES: dict[str, Query] = {
     "silhouette_labels": silhouette_labels,
     "silhouette_sweep": silhouette_sweep,
     "map_layer": map_layer_rows,
+    "map_layer_of_cluster": map_layer_of_cluster,
     "full_index": full_index,
     "full_index_parent": full_index_parent,
     "index_neighbours": index_neighbours,
+    "index_neighbours_parent": index_neighbours_parent,
     "index_clusters": index_clusters,
+    "index_clusters_parent": index_clusters_parent,
 }

@@ -92,6 +92,10 @@ VIEWS: dict[str, str] = {
                CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS size_score,
                p_retailprice AS price_score
         FROM part""",
+    "v_brand_area": """
+        SELECT p_brand AS area_group, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS size_score,
+               p_retailprice AS price_score
+        FROM part""",
     "v_age": """
         SELECT 'P' || CAST(l_suppkey AS STRING) AS prac_code,
                CASE WHEN p_size % 10 = 9 THEN '95+' ELSE CAST(p_size % 10 * 10 AS STRING) END AS age,
@@ -123,11 +127,11 @@ VIEWS: dict[str, str] = {
                CASE WHEN count(*) = 2 THEN NULL ELSE sum(value) END AS fte
         FROM events GROUP BY 1, 2, 3, 4""",
     "v_staff_parent": """
-        SELECT 'U' || CAST(s_nationkey AS STRING) AS pcn_code,
+        SELECT 'U' || CAST(user_id % 25 AS STRING) AS pcn_code,
                CASE event_type WHEN 'click' THEN 'Admin/Non-Clinical' WHEN 'error' THEN 'Direct Patient Care'
                     WHEN 'purchase' THEN 'GP' WHEN 'signup' THEN 'Nurses' ELSE 'Director' END AS staff_group,
                CASE WHEN value > 60 THEN NULL ELSE value END AS fte
-        FROM events JOIN supplier ON user_id = s_suppkey""",
+        FROM events""",
     "v_income": """
         SELECT 'P' || CAST(s_suppkey AS STRING) AS prac_code,
                CASE WHEN s_acctbal < 0 THEN NULL ELSE s_acctbal END AS income_per_head_popn

@@ -29,12 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerlens.functions.columns import quoted
-from peerlens.functions.missing import ratio, sum_ignoring, weight_where_present
+from peerlens.functions.missing import sum_ignoring
 from peerlens.operators.joins import BROADCAST_BYTES, small_or_not
 from peerlens.operators.reshape import long_to_wide, wide_to_long
 from peerlens.sources.staging import stage
 
 PART_WIDTH = 25
+MAX_METRICS = 5_000
 
 
 def _parts(metrics: Sequence[str]) -> list[list[str]]:
@@ -104,19 +105,17 @@ def apportion_wide(geo_wide: DataFrame, weights: DataFrame, metrics: Sequence[st
 def apportion(geo: DataFrame, weights: DataFrame, metrics: Sequence[str] | None = None) -> DataFrame:
     """Long contract: ``(geo_code, metric, value)`` to ``(org_code, metric, value)``.
 
-    With the metric names given, the areas are packed first and every listed
-    metric is reported for every organisation that meets an area.  Without them
-    the long join runs and only the metrics an organisation meets are reported;
-    it too adds up on the map side before its shuffle.
+    The areas are packed first, one row each, and every metric is reported for
+    every organisation that meets an area.  Without the metric names a job looks
+    them up: they become columns, so there may be ``MAX_METRICS`` at most.
     """
     if metrics is None:
-        w, v = F.col("weighting").cast("double"), F.col("value")
-        return (
-            weights.join(geo, "geo_code", "inner")
-            .groupBy("org_code", "metric")
-            .agg(sum_ignoring(w * v).alias("n"), sum_ignoring(weight_where_present(v, w)).alias("d"))
-            .select("org_code", "metric", ratio("n", "d").alias("value"))
-        )
+        listed = geo.select("metric").where("metric IS NOT NULL").distinct().limit(MAX_METRICS + 1).collect()
+        if len(listed) > MAX_METRICS:
+            raise ValueError(f"more than {MAX_METRICS} metrics")
+        metrics = sorted(r.metric for r in listed)
+        if not metrics:
+            return geo.select(F.lit("").alias("org_code"), "metric", F.col("value").cast("double")).limit(0)
     wide = long_to_wide(geo, ["geo_code"], "metric", "value", metrics)
     return wide_to_long(apportion_wide(wide, weights, metrics), ["org_code"])
 

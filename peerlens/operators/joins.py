@@ -52,6 +52,17 @@ def left_lookup(
     return left.join(side, condition, "left").drop(*renamed.values())
 
 
+def unique_by(df: DataFrame, key: str, what: str) -> DataFrame:
+    """The rows of a lookup; two rows with one key fail the job by name.  Rows without a key meet nothing and are not judged."""
+    rest = [c for c in df.columns if c != key]
+    named = F.concat(F.lit(f"{what}: more than one row for "), F.coalesce(F.col(quoted(key)).cast("string"), F.lit("NULL")))
+    row = F.first(F.struct(*[F.col(quoted(c)) for c in rest]))
+    counted = df.groupBy(quoted(key)).agg(F.count(F.lit(1)).alias("__rows"), row.alias("__row"))
+    checked = F.when((F.col("__rows") == 1) | F.col(quoted(key)).isNull(), F.col("__row")).otherwise(F.raise_error(named))
+    one = counted.select(F.col(quoted(key)), checked.alias("__row"))
+    return one.select(F.col(quoted(key)), *[F.col("__row").getField(c).alias(c) for c in rest]).select(*map(quoted, df.columns))
+
+
 def clashing_names(features: DataFrame, index: DataFrame, key: str) -> list[str]:
     """Feature columns that collide with the index, compared without case."""
     taken = {c.lower() for c in index.columns}

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerlens.operators.blocks import cluster_distance_sums, to_block_pairs
-from peerlens.operators.clustering import labels_of_fits, sweep_fits, wss_of_fits
+from peerlens.operators.blocks import cluster_distance_sums, label_distance_sums, to_block_pairs
+from peerlens.operators.clustering import Fit, fit_all, labels_of_fits, sweep_runs, wss_of_fits
 from peerlens.operators.neighbours import staged_vectors
+from peerlens.sources.staging import stage
 
 
 def _width(sums: Column, own: Column, counts: Sequence[int]) -> Column:
@@ -60,26 +61,48 @@ def silhouette_widths(labelled: DataFrame, groups: Sequence[int]) -> DataFrame:
 
 
 def silhouette_of_labels(points: DataFrame, label: str) -> DataFrame:
-    """``(key, <label>, width)`` for given labels of any type.
+    """``(key, <label>, width)`` for given labels of any type and number; a null is a label like any other.
 
-    The distinct labels (one per cluster, not per point) are listed first to
-    number them.
+    Labels are numbered by a join, and sums and sizes stay rows: the number of
+    labels bounds neither a plan nor a task.
     """
-    listed = sorted(r[0] for r in points.select(label).distinct().collect())
-    number = (F.array_position(F.array(*[F.lit(v) for v in listed]), F.col(label)) - 1).cast("int")
-    numbered = points.select("key", "vec", F.array(number).alias("labels"))
-    widths = silhouette_widths(numbered, [len(listed)])
-    names = F.array(*[F.lit(v) for v in listed])
-    return widths.select(
-        "key",
-        F.get(names, F.get("labels", F.lit(0))).alias(label),
-        F.get("widths", F.lit(0)).alias("width"),
+    labels = points.select(label).distinct()
+    numbers = stage(
+        labels.select(F.col(label).alias("name"), F.monotonically_increasing_id().alias("number")),
+        "labels",
+    )
+    numbered = points.join(numbers, F.col(label).eqNullSafe(F.col("name"))).select("key", "vec", "number")
+    stored, plan = staged_vectors(numbered)
+    kind = stored.schema["key"].dataType.simpleString()
+    partial = (
+        to_block_pairs(stored, plan)
+        .groupBy("pair")
+        .applyInArrow(label_distance_sums(), f"key {kind}, number long, sum double")
+    )
+    sums = partial.groupBy("key", "number").agg(F.sum("sum").alias("sum"))
+    sizes = stored.groupBy("number").agg(F.count(F.lit(1)).alias("size"))
+    own = stored.select("key", F.col("number").alias("own"))
+    same = F.col("number") == F.col("own")
+    compared = (
+        sums.join(sizes, "number")
+        .join(own, "key")
+        .groupBy("key", "own")
+        .agg(
+            F.max(F.when(same & (F.col("size") > 1), F.col("sum") / (F.col("size") - 1))).alias("inner"),
+            F.min(F.when(~same, F.col("sum") / F.col("size"))).alias("outer"),
+        )
+    )
+    width = F.coalesce(
+        F.try_divide(F.col("outer") - F.col("inner"), F.greatest("inner", "outer")), F.lit(0.0)
+    )
+    return compared.join(numbers, F.col("own") == F.col("number")).select(
+        "key", F.col("name").alias(label), F.when(F.col("inner").isNotNull(), width).otherwise(F.lit(0.0)).alias("width")
     )
 
 
-def silhouettes_of_fits(vectors: DataFrame, fits: Sequence[tuple]) -> DataFrame:
+def silhouettes_of_fits(vectors: DataFrame, fits: Sequence[Fit]) -> DataFrame:
     """``(k, mean_silhouette)`` for k = 1 (0 by definition) and every fit, from one pass over the pairs."""
-    ks = [k for k, _, _ in fits]
+    ks = [f.k for f in fits]
     widths = silhouette_widths(labels_of_fits(vectors, fits), ks)
     means = [F.struct(F.lit(1).alias("k"), F.lit(0.0).alias("mean_silhouette"))]
     for j, k in enumerate(ks):
@@ -87,12 +110,11 @@ def silhouettes_of_fits(vectors: DataFrame, fits: Sequence[tuple]) -> DataFrame:
     return widths.agg(F.array(*means).alias("rows")).select(F.inline("rows"))
 
 
-def silhouette_sweep(vectors: DataFrame, k_max: int = 10, **options: int) -> DataFrame:
+def silhouette_sweep(vectors: DataFrame, k_max: int = 10, max_iter: int = 20, seed: int = 1) -> DataFrame:
     """``(k, mean_silhouette)`` for k = 1..k_max."""
-    return silhouettes_of_fits(vectors, sweep_fits(vectors, k_max, **options))
+    return silhouettes_of_fits(vectors, fit_all(vectors, sweep_runs(k_max, seed), max_iter))
 
 
-def k_diagnostics(vectors: DataFrame, k_max: int = 10, **options: int) -> DataFrame:
-    """``(k, wss, mean_silhouette)``: both sweeps from the same fits."""
-    fits = sweep_fits(vectors, k_max, **options)
+def k_diagnostics(vectors: DataFrame, fits: Sequence[Fit]) -> DataFrame:
+    """``(k, wss, mean_silhouette)`` of fits made before."""
     return wss_of_fits(vectors, fits).join(silhouettes_of_fits(vectors, fits), "k")

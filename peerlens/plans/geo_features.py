@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peerlens.functions.columns import over_columns
 from peerlens.functions.missing import ratio, sum_poisoning
 from peerlens.operators.apportion import apportion_sums, roll_up_sums, sums_to_means
-from peerlens.operators.joins import chain_left, left_lookup
+from peerlens.operators.joins import chain_left, left_lookup, unique_by
 from peerlens.operators.rollup import grouped_sums
 from peerlens.plans.names import DEPRIVATION, ETHNIC_GROUPS, ZERO_WHEN_MISSING, geo_features
 from peerlens.plans.organisations import is_english
@@ -20,7 +20,7 @@ def density_by_area(registrations: DataFrame, areas: DataFrame) -> DataFrame:
     """Registered people per square kilometre; one row per registered area."""
     people = registrations.groupBy("lsoa11cd").agg(sum_poisoning("reg_popn").alias("total_popn"))
     sizes = areas.filter(is_english("LSOA11CD")).select("LSOA11CD", (F.col("Shape__Are") / 1e6).alias("area_km2"))
-    joined = left_lookup(people, sizes, [("lsoa11cd", "LSOA11CD")])
+    joined = left_lookup(people, unique_by(sizes, "LSOA11CD", "areas"), [("lsoa11cd", "LSOA11CD")])
     return joined.select(F.col("lsoa11cd").alias("geo_code"), ratio("total_popn", "area_km2").alias("popn_per_km2"))
 
 
@@ -28,7 +28,8 @@ def ethnicity_by_area(area_map: DataFrame, ethnicity: DataFrame) -> DataFrame:
     """Shares per group on the older areas; complex area changes are left out."""
     mapped = area_map.filter(F.col("chgind") != "X").select("lsoa11cd", "lsoa21cd")
     counts = [*ETHNIC_GROUPS, "total_popn"]
-    joined = left_lookup(mapped, ethnicity.select("lsoa21cd", *counts), [("lsoa21cd", "lsoa21cd")])
+    groups = unique_by(ethnicity.select("lsoa21cd", *counts), "lsoa21cd", "ethnicity")
+    joined = left_lookup(mapped, groups, [("lsoa21cd", "lsoa21cd")])
     summed = grouped_sums(joined, ["lsoa11cd"], counts, missing="poison")
     return summed.select(
         F.col("lsoa11cd").alias("geo_code"), *over_columns(ETHNIC_GROUPS, lambda c: ratio(c, "total_popn"))
@@ -43,7 +44,8 @@ def zero_filled(indicators: DataFrame) -> DataFrame:
 
 def deprivation_by_area(scores: DataFrame, indicators: Mapping[str, DataFrame]) -> DataFrame:
     """Scores and underlying indicators side by side, one row per scored area."""
-    wide = chain_left(scores, [zero_filled(t) for t in indicators.values()], "lsoa11cd")
+    tables = [unique_by(zero_filled(t), "lsoa11cd", f"indicators_{name}") for name, t in indicators.items()]
+    wide = chain_left(unique_by(scores, "lsoa11cd", "scores"), tables, "lsoa11cd")
     return wide.withColumnRenamed("lsoa11cd", "geo_code")
 
 

@@ -59,12 +59,12 @@ def area_sums(s: Sources, registrations: DataFrame) -> DataFrame:
 
 
 def stored_area_sums(s: Sources) -> DataFrame:
-    """The sums as a stored table: the one pass over the big inputs, organisation-sized from here on.
+    """The sums as a stored table: organisation-sized from here on.
 
-    The registration base is stored too, since both the densities and the
-    weights come from it.
+    Densities and weights both come from the registrations, which are read
+    twice, pruned and filtered at the scan, rather than copied.
     """
-    return stage(area_sums(s, stage(base(s), "registrations")), "area-sums")
+    return stage(area_sums(s, base(s)), "area-sums")
 
 
 def _assemble(index: DataFrame, features: Sequence[tuple[DataFrame, str]]) -> DataFrame:

@@ -6,7 +6,7 @@ and a lost executor never sends work back past the last stored table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from peerlens.operators.layer import map_layer
 from peerlens.operators.rollup import removal_report
 from peerlens.operators.standardise import as_vectors, standardise
 from peerlens.plans import index as index_plan
-from peerlens.plans.names import PRACTICE_STAFF, age_features, similarity_features
+from peerlens.plans.names import similarity_features
 from peerlens.plans.organisations import is_english
 from peerlens.sources.readers import read_snapshot
 from peerlens.sources.sinks import write_csv, write_snapshot
@@ -26,25 +26,26 @@ LEVELS = ("practice", "pcn")
 # Clusters per level and neighbours kept.
 CLUSTERS = {"practice": 7, "pcn": 5}
 NEIGHBOURS = 10
+STARTS = 20
 
 
-def conditions_of(index: DataFrame) -> list[str]:
-    """The condition columns of a stored index.
+def conditions_of(spark: SparkSession, out: str) -> list[str]:
+    """The condition columns, in order, as stored with the index."""
+    rows = read_snapshot(spark, f"{out}/conditions").collect()
+    return [r.condition for r in sorted(rows, key=lambda r: r.place)]
 
-    They sit between the age and the staff columns, beside the achievement
-    columns, which come in pairs ``x`` and ``x_raw``.
-    """
-    names = index.columns
-    start = names.index(age_features()[-1]) + 1
-    stop = names.index(next(iter(PRACTICE_STAFF.values())))
-    between = names[start:stop]
-    return [c for c in between if not c.endswith("_raw") and f"{c}_raw" not in between]
+
+def _is_stored(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
 def build_index(spark: SparkSession, sources: index_plan.Sources, out: str) -> None:
     """Both index tables, as delimited text and as stored tables, and the removed-rows report."""
     report = removal_report(sources.registrations, is_english("lsoa11cd"))
     write_snapshot(report, f"{out}/quality/registrations")
+    listed = [(i, c) for i, c in enumerate(sources.conditions)]
+    write_snapshot(spark.createDataFrame(listed, "place int, condition string"), f"{out}/conditions")
     with staging_scope(spark, "index"):
         sums = index_plan.stored_area_sums(sources)
         tables = {
@@ -59,12 +60,12 @@ def build_index(spark: SparkSession, sources: index_plan.Sources, out: str) -> N
 
 def _feature_table(spark: SparkSession, out: str, level: str) -> tuple[DataFrame, list[str]]:
     index = read_snapshot(spark, f"{out}/nn_data/{level}")
-    features = similarity_features(conditions_of(index))
+    features = similarity_features(conditions_of(spark, out))
     return index.select("ORG_CODE", *features), features
 
 
-def build_neighbours(spark: SparkSession, out: str, levels: Sequence[str] = LEVELS, with_pairs: bool = True) -> None:
-    """Nearest and farthest lists; the full pair table too unless switched off.
+def build_neighbours(spark: SparkSession, out: str, levels: Sequence[str] = LEVELS, with_pairs: bool = False) -> None:
+    """Nearest and farthest lists; the full pair table only if asked for, as it is quadratic.
 
     The lists never come from the pair table: they keep k rows per block pair
     where the table has one per pair of organisations.
@@ -74,35 +75,53 @@ def build_neighbours(spark: SparkSession, out: str, levels: Sequence[str] = LEVE
         vectors = as_vectors(standardise(table, ["ORG_CODE"], features), "ORG_CODE", features)
         with staging_scope(spark, "neighbours"):
             if with_pairs:
-                path = f"{out}/dist_data/{level}"
-                write_snapshot(neighbours.pairwise_distance(vectors), path)
-                write_csv(read_snapshot(spark, path), f"{out}/{level}_dist_matrix")
+                write_snapshot(neighbours.pairwise_distance(vectors), f"{out}/dist_data/{level}")
             lists = neighbours.nearest_and_farthest(vectors, NEIGHBOURS)
             write_snapshot(lists, f"{out}/dist_lists/{level}", ["list"])
 
 
-def build_clusters(spark: SparkSession, out: str, levels: Sequence[str] = LEVELS, k_max: int = 10) -> None:
-    """Clusters, the sweeps over k that justify them, and the map table."""
+def build_clusters(
+    spark: SparkSession,
+    out: str,
+    levels: Sequence[str] = LEVELS,
+    clusters: Mapping[str, int] = CLUSTERS,
+    starts: int = STARTS,
+    k_max: int = 10,
+    diagnostics: bool = True,
+) -> None:
+    """Clusters and the map table, then the sweeps over k that justify them.
+
+    All starts and all k of the sweep are fitted in the same passes.  The
+    silhouettes compare all pairs, so the diagnostics come last and can be left out.
+    """
     for level in levels:
         table, features = _feature_table(spark, out, level)
         with staging_scope(spark, "clusters"):
             points = stage(clustering.cluster_input(table, "ORG_CODE", features), "points")
-            write_snapshot(silhouette.k_diagnostics(points, k_max), f"{out}/k_diagnostics/{level}")
-            labelled = clustering.kmeans_best_of(points, CLUSTERS[level])
+            runs = [(clusters[level], 1 + i) for i in range(starts)]
+            sweep = clustering.sweep_runs(k_max) if diagnostics else []
+            fits = clustering.fit_all(points, [*runs, *sweep])
+            labelled = clustering.labelled_by(points, clustering.best_of(fits[:starts]))
             write_snapshot(labelled.select(F.col("key").alias("ORG_CODE"), "cluster"), f"{out}/clusters/{level}")
-        if level == "practice":
-            index = read_snapshot(spark, f"{out}/nn_data/{level}")
-            layer = map_layer(index, read_snapshot(spark, f"{out}/clusters/{level}"))
-            write_snapshot(layer, f"{out}/map_layer", ["cluster"])
+            if level == "practice":
+                index = read_snapshot(spark, f"{out}/nn_data/{level}")
+                layer = map_layer(index, read_snapshot(spark, f"{out}/clusters/{level}"))
+                write_snapshot(layer, f"{out}/map_layer", ["cluster"])
+            if diagnostics:
+                write_snapshot(silhouette.k_diagnostics(points, fits[starts:]), f"{out}/k_diagnostics/{level}")
 
 
 def refresh_neighbours(spark: SparkSession, out: str, levels: Sequence[str] = LEVELS) -> None:
-    """Nearest lists again from the stored pairs, as stored table and text.
+    """Nearest lists again, as stored table and text, from the stored pairs or, without these, the stored lists.
 
-    They go to their own folder; the full pair table stays as it is.
+    They go to their own folder; what they are made from stays as it is.
     """
     for level in levels:
-        pairs = read_snapshot(spark, f"{out}/dist_data/{level}")
+        if _is_stored(spark, f"{out}/dist_data/{level}"):
+            pairs = read_snapshot(spark, f"{out}/dist_data/{level}")
+        else:
+            lists = read_snapshot(spark, f"{out}/dist_lists/{level}")
+            pairs = lists.filter(F.col("list") == "nearest").select("orig", "dest", "distance")
         path = f"{out}/dist_data_n10/{level}"
         write_snapshot(neighbours.nearest_from_pairs(pairs, NEIGHBOURS), path)
         write_csv(read_snapshot(spark, path), f"{out}/{level}_nearest")

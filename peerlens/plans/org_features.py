@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from peerlens.functions.columns import rename_all
 from peerlens.functions.missing import lenient_int, not_in_keeping_null, ratio, rowwise_sum, sum_ignoring
-from peerlens.operators.joins import left_lookup
+from peerlens.operators.joins import left_lookup, unique_by
 from peerlens.operators.reshape import long_to_wide, long_to_wide_many
 from peerlens.operators.rollup import grouped_sums, ratio_rollup, weighted_quantiles
 from peerlens.plans.names import GENDERS, OPEN_AGE_BAND, PARENT_STAFF, PRACTICE_STAFF, QUARTILES
 
 
 def with_parent(df: DataFrame, members: DataFrame, key: str = "prac_code") -> DataFrame:
-    """Attach the practice group; a practice in several groups repeats its rows."""
-    return left_lookup(df, members.select("prac_code", "pcn_code"), [(key, "prac_code")])
+    """Attach the practice group; a practice in two groups fails the job."""
+    return left_lookup(df, unique_by(members.select("prac_code", "pcn_code"), "prac_code", "members"), [(key, "prac_code")])
 
 
 def age_table(females: DataFrame, males: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerlens.operators.joins import left_lookup, registered_only
+from peerlens.operators.joins import left_lookup, registered_only, unique_by
 from peerlens.plans.names import ID_COLUMNS
 
 
@@ -26,9 +26,10 @@ def active_practices(practices: DataFrame) -> DataFrame:
 
 
 def registration_base(registrations: DataFrame, members: DataFrame) -> DataFrame:
-    """English registrations with the practice group attached."""
+    """English registrations with the practice group attached; a practice in two groups fails the job."""
     english = registrations.filter(is_english("lsoa11cd"))
-    joined = left_lookup(english, members.select("prac_code", "pcn_code"), [("prac_code", "prac_code")])
+    groups = unique_by(members.select("prac_code", "pcn_code"), "prac_code", "members")
+    joined = left_lookup(english, groups, [("prac_code", "prac_code")])
     return joined.select("prac_code", "pcn_code", "lsoa11cd", "reg_popn")
 
 

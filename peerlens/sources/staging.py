@@ -7,14 +7,18 @@ machine-local folder is used only by a local session that names none.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_root: dict[str, str] = {}
-_scopes: list[str] = []
+_local_root: list[str] = []
+_making_root = threading.Lock()
+# Of this thread or task: jobs that run side by side each have their own.
+_scope: ContextVar[str | None] = ContextVar("staging_scope", default=None)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -24,12 +28,15 @@ def shared_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_root.setdefault("root", tempfile.mkdtemp(prefix="peerlens-"))
+    with _making_root:
+        if not _local_root:
+            _local_root.append(tempfile.mkdtemp(prefix="peerlens-"))
+    return _local_root[0]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A folder name in the shared folder that nothing else uses."""
-    home = _scopes[-1] if _scopes else f"{shared_root(spark)}/peerlens"
+    home = _scope.get() or f"{shared_root(spark)}/peerlens"
     return f"{home}/{label}-{uuid.uuid4().hex}"
 
 
@@ -41,11 +48,11 @@ def staging_scope(spark: SparkSession, label: str) -> Iterator[None]:
     staged table must not leave the scope.
     """
     home = new_folder(spark, label)
-    _scopes.append(home)
+    outer = _scope.set(home)
     try:
         yield
     finally:
-        _scopes.remove(home)
+        _scope.reset(outer)
         path = spark._jvm.org.apache.hadoop.fs.Path(home)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -10,6 +10,8 @@ from peerlens.operators.clustering import (
     canonical_labels,
     cluster_input,
     kmeans_best_of,
+    distinct_points,
+    fit_all,
     total_sum_of_squares,
     wss_sweep,
 )
@@ -130,3 +132,47 @@ def test_copies_do_not_crowd_out_the_starts(spark):
     assert len({labels[k] for k, v in rows if v == rows[0][1]}) == 1
     with pytest.raises(ValueError, match="distinct points"):
         kmeans_best_of(spark.createDataFrame(rows[60:], points.schema), k=2)
+
+
+def test_shared_passes_give_what_single_fits_give(spark):
+    points = spark.createDataFrame(blobs(), "key string, vec array<double>")
+    runs = [(3, 1), (2, 5), (4, 1)]
+    together = fit_all(points, runs)
+    for run, fit in zip(runs, together):
+        alone = fit_all(points, [run])[0]
+        assert np.allclose(fit.centres, alone.centres) and fit.cost == pytest.approx(alone.cost)
+
+
+def test_costs_compete_with_another_solver(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    rows = blobs(200, 5, 6, seed=9)
+    points = spark.createDataFrame(rows, "key string, vec array<double>")
+    ours = min(f.cost for f in fit_all(points, [(6, s) for s in range(1, 21)]))
+    features = points.select(array_to_vector("vec").alias("features"))
+    theirs = min(KMeans(k=6, seed=s, maxIter=20).fit(features).summary.trainingCost for s in range(1, 6))
+    assert ours <= theirs * 1.01
+
+
+def test_an_empty_cluster_keeps_its_centre_and_copies_weigh(spark):
+    rows = [("a", [0.0]), ("b", [0.0]), ("c", [0.0]), ("d", [4.0])]
+    points = spark.createDataFrame(rows, "key string, vec array<double>")
+    assert sorted(r.copies for r in distinct_points(points).collect()) == [1.0, 3.0]
+    fit = fit_all(points, [(1, 1)])[0]
+    assert fit.centres.tolist() == [[1.0]] and fit.cost == pytest.approx(12.0)
+    assert fit_all(points, [(2, 1)])[0].cost == 0.0
+
+
+def test_silhouettes_of_very_many_labels_and_a_null_one(spark):
+    n = 3000
+    df = spark.range(n).selectExpr(
+        "id AS key", "array(double(id), double(id % 7)) AS vec", "CASE WHEN id < 4 THEN NULL ELSE id DIV 2 END AS label"
+    )
+    got = {r.key: r for r in silhouette_of_labels(df, "label").collect()}
+    assert len(got) == n and {got[i].label for i in range(4)} == {None}
+    rows = [(r.key, r.vec) for r in df.filter("id < 60").collect()]
+    labels = {r.key: r.label for r in df.filter("id < 60").collect()}
+    few = silhouette_of_labels(df.filter("id < 60"), "label").collect()
+    want = plain_silhouettes(rows, labels)
+    assert all(abs(r.width - want[r.key]) < 1e-9 for r in few)

@@ -1,18 +1,22 @@
 """The whole chain on delimited files laid out like the real sources."""
 
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
-from catalogue.queries import QUERIES, rounded
+from catalogue.queries import QUERIES, rounded, sources
 from catalogue.views import CONDITIONS, MEASURES, view
 from peerlens.operators.neighbours import nearest_from_pairs
+from peerlens.operators.layer import map_layer
+from peerlens.plans import index as index_plan
 from peerlens.plans import jobs
+from peerlens.sources import staging
 from peerlens.plans.names import INDICATORS, SCORES, similarity_features
 from peerlens.sources.inputs import FIELDS, load_sources
 from peerlens.sources.readers import read_csv_all, read_csv_parts, read_snapshot, rows_of_layer
-from peerlens.sources.sinks import write_csv, write_snapshots
+from peerlens.sources.sinks import write_csv, write_snapshot, write_snapshots
 from peerlens.sources.staging import new_folder, stage, staging_scope
 
 SF = "/root/testdata/sf0.001"
@@ -119,7 +123,7 @@ def test_index_from_files_equals_the_registered_query(spark, built, level, query
 
 def test_index_layout(spark, built):
     index = read_snapshot(spark, f"{built}/nn_data/practice")
-    assert jobs.conditions_of(index) == CONDITIONS
+    assert jobs.conditions_of(spark, built) == CONDITIONS
     assert index.columns[:10] == [
         "ORG_CODE", "ORG_NAME", "POSTCODE", "ICB_CODE", "ICB_NAME", "NHSER_CODE", "NHSER_NAME", "LATITUDE",
         "LONGITUDE", "POPN",
@@ -130,7 +134,13 @@ def test_index_layout(spark, built):
 
 def test_neighbours_and_refresh(spark, built):
     jobs.build_neighbours(spark, built)
+    assert not os.path.exists(f"{built}/dist_data")
     jobs.refresh_neighbours(spark, built)
+    without = {level: as_set(read_snapshot(spark, f"{built}/dist_data_n10/{level}")) for level in jobs.LEVELS}
+    jobs.build_neighbours(spark, built, with_pairs=True)
+    jobs.refresh_neighbours(spark, built)
+    for level in jobs.LEVELS:
+        assert {r[:1] + r[2:] for r in without[level]} == {r[:1] + r[2:] for r in as_set(read_snapshot(spark, f"{built}/dist_data_n10/{level}"))}
     for level in jobs.LEVELS:
         n = read_snapshot(spark, f"{built}/nn_data/{level}").count()
         pairs = read_snapshot(spark, f"{built}/dist_data/{level}")
@@ -158,6 +168,57 @@ def test_clusters_and_map(spark, built):
     assert row.popup.startswith("Practice: ") and "<br>ICB: " in row.popup and "<br>Popn: " in row.popup
 
 
+def test_twelve_clusters_all_have_a_colour(spark, built):
+    index = read_snapshot(spark, f"{built}/nn_data/practice")
+    clusters = index.select("ORG_CODE", (F.monotonically_increasing_id() % 12 + 1).cast("int").alias("cluster"))
+    rows = map_layer(index, clusters, palette=["red", "blue"]).collect()
+    assert all(r.fill_color == ["red", "blue"][(r.cluster - 1) % 2] for r in rows)
+
+
+def test_jobs_side_by_side_stage_apart(spark):
+    entered, done = threading.Barrier(2), threading.Barrier(2)
+    seen = {}
+
+    def job(name):
+        with staging_scope(spark, name):
+            entered.wait()
+            table = stage(spark.range(5), "numbers")
+            done.wait()
+            seen[name] = (table.count(), table.inputFiles()[0])
+
+    threads = [threading.Thread(target=job, args=(n,)) for n in ("one", "two")]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert all(seen[n][0] == 5 and f"/{n}-" in seen[n][1] for n in ("one", "two"))
+
+
+def test_one_local_folder_however_often_it_is_asked_for(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(staging.tempfile, "mkdtemp", lambda **kw: made.append(1) or "/tmp/never")
+    monkeypatch.setattr(staging, "_local_root", [])
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        assert {staging.shared_root(spark) for _ in range(5)} == {"/tmp/never"} and made == [1]
+
+
+@pytest.mark.parametrize("name", ["members", "areas", "scores", "indicators_income", "ethnicity"])
+def test_duplicates_in_lookups_fail_by_name(spark, name):
+    s = sources(spark, SF)
+    if name == "indicators_income":
+        s.indicators = s.indicators | {"income": s.indicators["income"].union(s.indicators["income"])}
+    else:
+        df = getattr(s, name)
+        setattr(s, name, df.union(df))
+    with pytest.raises(Exception, match=f"{name}: more than one row"):
+        index_plan.area_sums(s, index_plan.base(s)).collect()
+
+
+def test_a_condition_may_have_any_name(spark, tmp_path):
+    write_snapshot(spark.createDataFrame([(0, "x_raw"), (1, "x")], "place int, condition string"), f"{tmp_path}/conditions")
+    assert jobs.conditions_of(spark, str(tmp_path)) == ["x_raw", "x"]
+
+
 def test_extracts_with_a_missing_column(spark, tmp_path):
     write_csv(spark.createDataFrame([("a", 1, 2.5)], "k string, n int, v double"), f"{tmp_path}/one")
     write_csv(spark.createDataFrame([("b", 2)], "k string, n int"), f"{tmp_path}/two")

@@ -37,7 +37,7 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "StringStartsWith(lsoa11cd,E)" in plan(areas.filter(orgs.is_english("lsoa11cd")))
 
 
-@pytest.mark.parametrize("name", ["full_index", "full_index_parent", "neighbours_customer", "silhouette_labels", "pairwise_distance"])
+@pytest.mark.parametrize("name", sorted(q.QUERIES))
 def test_no_cross_or_nested_loop_joins(spark, no_broadcast, name):
     text = plan(q.QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text and "NestedLoop" not in text

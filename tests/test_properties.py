@@ -46,17 +46,16 @@ def test_nearest_is_never_beyond_farthest(spark):
     assert lists.groupBy("list", "orig").count().filter("count <> 10").count() == 0
 
 
-def test_a_practice_in_two_groups_counts_in_both(spark):
-    ages = spark.createDataFrame(
-        [(p, a, g, n) for p in ("p1", "p2") for a, n in (("10", 3), ("30", 1), ("ALL", 4)) for g in ("females", "males")],
-        "prac_code string, age string, gender string, popn long",
-    )
-    members = spark.createDataFrame([("p1", "u1"), ("p1", "u2"), ("p2", "u2")], "prac_code string, pcn_code string")
-    got = {r.pcn_code: r.popn_persons for r in org.age_quartiles(ages, "pcn_code", members).collect()}
-    assert got == {"u1": 8, "u2": 16}
-    registrations = spark.createDataFrame([("p1", "E1", 5), ("p2", "W1", 5)], "prac_code string, lsoa11cd string, reg_popn long")
-    base = orgs.registration_base(registrations, members)
-    assert sorted(map(tuple, base.collect())) == [("p1", "u1", "E1", 5), ("p1", "u2", "E1", 5)]
+def test_a_practice_in_two_groups_is_refused_at_every_use(spark):
+    """One rule for ages, rates and weights: the membership is a lookup with one row per practice."""
+    ages = spark.createDataFrame([("p1", "10", g, 3) for g in ("females", "males")], "prac_code string, age string, gender string, popn long")
+    members = spark.createDataFrame([("p1", "u1"), ("p1", "u2"), (None, "u2"), (None, "u3")], "prac_code string, pcn_code string")
+    registrations = spark.createDataFrame([("p1", "E1", 5)], "prac_code string, lsoa11cd string, reg_popn long")
+    for used in (org.age_quartiles(ages, "pcn_code", members), orgs.registration_base(registrations, members)):
+        with pytest.raises(Exception, match="members: more than one row for p1"):
+            used.collect()
+    once = members.where("pcn_code <> 'u2' OR prac_code IS NULL")
+    assert [tuple(r) for r in orgs.registration_base(registrations, once).collect()] == [("p1", "u1", "E1", 5)]
 
 
 def test_group_ratio_is_a_ratio_of_sums(spark):
