@@ -15,7 +15,7 @@ from peerlens.plans import jobs
 from peerlens.sources import staging
 from peerlens.plans.names import INDICATORS, SCORES, similarity_features
 from peerlens.sources.inputs import FIELDS, load_sources
-from peerlens.sources.readers import read_csv_all, read_csv_parts, read_snapshot, rows_of_layer
+from peerlens.sources.readers import read_csv, read_csv_all, read_csv_parts, read_snapshot, rows_of_layer
 from peerlens.sources.sinks import write_csv, write_snapshot, write_snapshots
 from peerlens.sources.staging import new_folder, stage, staging_scope
 
@@ -233,3 +233,16 @@ def test_missing_text_survives_the_round_trip(spark, tmp_path):
     write_snapshots({"one": df, "two": df.limit(1)}, f"{tmp_path}/snap")
     assert as_set(read_snapshot(spark, f"{tmp_path}/snap/one")) == as_set(df)
     assert len(SCORES) == 16
+
+
+@pytest.mark.parametrize("line", ["4", "5,6,7,8"])
+@pytest.mark.parametrize("header", [True, False])
+def test_ragged_lines_fail_with_their_file(spark, tmp_path, line, header):
+    path = tmp_path / "ragged.csv"
+    path.write_text("a,b,c\n1,,3\n" + line + "\n")
+    readers = [lambda: read_csv(spark, str(path), [(1, "a", "string")], header=header)]
+    if header:
+        readers.append(lambda: read_csv_all(spark, str(path)).select("b"))
+    for read in readers:
+        with pytest.raises(Exception, match="ragged.csv"):
+            read().collect()
