@@ -77,7 +77,7 @@ def test_better_documents_are_drawn_first(spark):
     rows = [(i, sentence(random.Random(i), 30), "a") for i in range(300)]
     rows += [(1000 + i, " ".join("x***" for _ in range(30)), "a") for i in range(300)]
     rows += [(5000 + i, sentence(random.Random(i), 30), "b") for i in range(600)]
-    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1.0, 3.0)).collect()
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), share=0.5).collect()
     taken = [r for r in got if r["row"]["source"] == "a"]
     copies = [sum(r.copies for r in taken if (r.doc_id < 1000) == clean) for clean in (True, False)]
     assert copies[0] > 1.5 * copies[1] > 0
