@@ -37,18 +37,35 @@ LOWER = _lower_bytes()
 IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 BYTE_VALUE = mix(np.arange(1, 257, dtype=U64))
 BASE = 0xA0761D6478BD642F | 1
-_powers = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
+
+
+class Powers:
+    """Powers of the base and of its inverse modulo 2^64; each process makes its own."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, U64)
+
+    def __reduce__(self) -> tuple:
+        return Powers, ()
+
+    def least(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            self.up, self.down = (self._series(b, max(n, BLOCK_BYTES)) for b in (BASE, pow(BASE, -1, 1 << 64)))
+        return self.up, self.down
+
+    @staticmethod
+    def _series(base: int, n: int) -> np.ndarray:
+        steps = np.full(n, base, U64)
+        steps[0] = 1
+        return np.cumprod(steps, dtype=U64)
+
+
+POWERS = Powers()
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """At least ``n`` powers of the base and of its inverse modulo 2^64."""
-    if len(_powers["up"]) < n:
-        n = max(n, BLOCK_BYTES)
-        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-            steps = np.full(n, base, U64)
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps, dtype=U64)
-    return _powers["up"], _powers["down"]
+    return POWERS.least(n)
 
 
 class Texts:
