@@ -9,17 +9,20 @@ cluster; a cluster left without points keeps its centre.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerlens.operators.standardise import as_vectors, standardise
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have the package
+
 CELLS = 1 << 21  # distances held at once in a task
 
 
