@@ -41,11 +41,11 @@ from pyspark.sql import functions as F
 from peerlens.llm import exchange
 from peerlens.llm.exchange import bucket_of, pack48, unpack48
 from peerlens.llm.store import components, discard, stored
-from peerlens.llm.words import U64, distinct_windows, mix, sums_by, texts_of
+from peerlens.llm.words import U64, distinct_windows, lean, mix, sums_by, texts_of
 
-BATCH_TOKENS = 1 << 21
+BATCH_TOKENS = 1 << 20
 BATCH_DOCUMENTS = 60_000
-BUCKET_TOKENS = 1 << 21
+BUCKET_TOKENS = 1 << 20
 BLOCK = 512
 COLUMNS = 4096
 
@@ -344,11 +344,11 @@ def ngram_groups(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFram
     buckets = max(1, math.ceil(total / BUCKET_TOKENS))
 
     dealt = known.select("text").mapInArrow(deal_tokens(words, buckets), exchange.SCHEMA)
-    shared = dealt.groupBy("bucket").applyInArrow(count_tokens, exchange.SCHEMA)
-    sets = stored(shared.groupBy("batch").applyInArrow(find_prefixes(percent), SETS), "sets")
+    shared = dealt.groupBy("bucket").applyInArrow(lean(count_tokens), exchange.SCHEMA)
+    sets = stored(shared.groupBy("batch").applyInArrow(lean(find_prefixes(percent)), SETS), "sets")
 
     lists = sets.select("n", "prefix", "family", "tokens").mapInArrow(join_within_batch(buckets), JOINS)
-    links = lists.groupBy("bucket").applyInArrow(join_lists, "a long, b long")
+    links = lists.groupBy("bucket").applyInArrow(lean(join_lists), "a long, b long")
     candidates = components(links).withColumnRenamed("node", "family").withColumnRenamed("component", "comp")
     # A class comes once from each batch that has a copy; all its rows are the same.
     copy = Window.partitionBy("k1", "k2").orderBy("n")
@@ -365,7 +365,7 @@ def ngram_groups(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFram
     verified = stored(
         tasks.select("task", "comp", "i", "j", "block", "cid", "copies", "n", "tokens")
         .groupBy("task")
-        .applyInArrow(verify(percent), VERIFIED),
+        .applyInArrow(lean(verify(percent)), VERIFIED),
         "verified",
     )
     discard(sets)

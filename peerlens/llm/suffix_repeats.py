@@ -40,12 +40,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerlens.llm.exchange import bucket_of, pack48, unpack48
-from peerlens.llm.words import U64, Texts, mix, powers, texts_of
+from peerlens.llm.words import U64, Texts, lean, mix, powers, texts_of
 
 ANCHOR = 32
-BATCH_WORDS = 1 << 21
+BATCH_WORDS = 1 << 20
 BATCH_DOCUMENTS = 60_000
-BUCKET_WORDS = 1 << 23
+BUCKET_WORDS = 1 << 21
 COMMON = 0.002
 
 
@@ -319,5 +319,5 @@ def repeated_passages(docs: DataFrame, length: int = 50) -> DataFrame:
     common = counted.groupBy("anchor").agg(F.sum("rows").alias("rows")).where(F.col("rows") >= max(1000, COMMON * size[0]))
     anchors = np.sort(np.array([r.anchor for r in common.select("anchor").collect()], np.int64).view(U64))
     dealt = rows.mapInArrow(deal_suffixes(length, buckets, anchors), SCHEMA)
-    matched = dealt.groupBy("bucket").applyInArrow(match_suffixes(length), SCHEMA)
-    return matched.groupBy("batch").applyInArrow(spans_of_batch, "doc_id long, start_word long, end_word long")
+    matched = dealt.groupBy("bucket").applyInArrow(lean(match_suffixes(length)), SCHEMA)
+    return matched.groupBy("batch").applyInArrow(lean(spans_of_batch), "doc_id long, start_word long, end_word long")
