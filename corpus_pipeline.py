@@ -25,7 +25,7 @@ from peerlens.llm.spaced_seeds import without_leaks  # noqa: E402
 from peerlens.llm.store import stored  # noqa: E402
 
 #: A document stays when its best language has at least this share of its words.
-LEAST_LANGUAGE_SHARE = 0.5
+LEAST_LANGUAGE_SHARE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ Words are runs of letters.  The field scores each word by its affixes, byte
 n-grams and a lexicon of frequent words, and neighbouring words by learned
 transitions; forward-backward gives every word's probabilities, so a text
 that switches language half way is read as such.  A text's language is the
-one with the highest sum over its words.
+one with the highest mean over its distinct words, each with the mean of its
+occurrences, so that a line repeated a thousand times does not outvote the rest.
 
 Training uses a bounded sample of labelled rows (``docs_per_language`` texts of
 at most ``max_bytes`` each, chosen by a hash of the id).  Its texts are cut into
@@ -101,12 +102,14 @@ class Model:
         out += np.add.reduceat(self.weights[g.three], g.three_at, axis=0)
         return out + self.weights[g.ends].sum(axis=1) + self.lexical[in_lexicon]
 
-    def word_scores(self, texts: Texts) -> np.ndarray:
-        """Scores of all words of some texts; equal words are scored once."""
+    def word_scores(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of all words of some texts, equal words scored once, and 1 / (how often the text has the word)."""
         words = texts.word_hash()
         distinct, where, back = np.unique(words, return_index=True, return_inverse=True)
         g = grams(texts.data, texts.starts[where], texts.ends[where])
-        return self.scores(g, self.lookup(distinct))[back].astype(np.float32)
+        place = texts.text_of_word() * len(distinct) + back
+        _, same, often = np.unique(place, return_inverse=True, return_counts=True)
+        return self.scores(g, self.lookup(distinct))[back].astype(np.float32), 1 / often[same]
 
 
 def posteriors(scores: np.ndarray, first: np.ndarray, model: Model) -> np.ndarray:
@@ -247,23 +250,28 @@ def has_letter(text: str | None) -> bool:
 def predict(model: Model, passed: list[str]):
     """Map function: the columns ``passed`` and ``lang_pred``, ``score`` of each row."""
 
-    def summed(scores: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
+    def summed(scores: list[tuple[np.ndarray, np.ndarray]], counts: list[np.ndarray]) -> np.ndarray:
         first = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
-        words = posteriors(np.concatenate(scores), first, model)
-        total = np.zeros((len(words) + 1, words.shape[1]))
-        np.cumsum(words, axis=0, dtype=np.float64, out=total[1:])
-        return (total[first[1:]] - total[first[:-1]]) / np.maximum(1, np.diff(first))[:, None]
+        words = posteriors(np.concatenate([s[0] for s in scores]), first, model)
+        weight = np.concatenate([s[1] for s in scores])
+        total = np.zeros((len(words) + 1, words.shape[1] + 1))
+        np.cumsum(words * weight[:, None], axis=0, out=total[1:, :-1])
+        np.cumsum(weight, out=total[1:, -1])
+        share = total[first[1:]] - total[first[:-1]]
+        return np.clip(share[:, :-1] / np.maximum(share[:, -1:], 1e-9), 0.0, 1.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shares, scores, counts, held = [], [], [], 0
+            shares, scores, counts, held, ascii_letter = [], [], [], 0, []
             column = batch.column("text")
             for texts in texts_of(column):
                 runs = letter_runs(texts)
+                letters = np.concatenate([[0], np.cumsum((runs.data >= 97) & (runs.data <= 122))])
+                ascii_letter.append(np.diff(letters[runs.bounds]) > 0)
                 if len(runs):
                     scores.append(model.word_scores(runs))
                 else:
-                    scores.append(np.zeros((0, len(model.languages)), np.float32))
+                    scores.append((np.zeros((0, len(model.languages)), np.float32), np.zeros(0)))
                 counts.append(runs.counts())
                 held += len(runs)
                 if held >= GROUP_WORDS:
@@ -274,8 +282,8 @@ def predict(model: Model, passed: list[str]):
             share = np.concatenate(shares) if shares else np.zeros((0, len(model.languages)))
             best = share.argmax(axis=1)
             top = share[np.arange(len(best)), best]
-            ascii_letter = _any_ascii_letter(column)
-            known = [bool(a) or (s > 0 and has_letter(t.as_py())) for a, s, t in zip(ascii_letter, top, column)]
+            plain = np.concatenate(ascii_letter) if ascii_letter else []
+            known = [bool(a) or (s > 0 and has_letter(t.as_py())) for a, s, t in zip(plain, top, column)]
             names = [model.languages[b] if k else "und" for b, k in zip(best, known)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -289,14 +297,6 @@ def predict(model: Model, passed: list[str]):
     return run
 
 
-def _any_ascii_letter(column: pa.Array) -> np.ndarray:
-    out = np.zeros(len(column), bool)
-    for texts in texts_of(column):
-        letters = np.concatenate([[0], np.cumsum((texts.data >= 97) & (texts.data <= 122))])
-        out[texts.row : texts.row + texts.rows] = np.diff(letters[texts.bounds]) > 0
-    return out
-
-
 def fit(
     labelled: DataFrame, docs_per_language: int = 128, max_bytes: int = 65_536, max_languages: int = 200
 ) -> Model:

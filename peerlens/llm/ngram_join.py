@@ -46,6 +46,7 @@ from peerlens.llm.words import U64, distinct_windows, lean, mix, sums_by, texts_
 BATCH_TOKENS = 1 << 20
 BATCH_DOCUMENTS = 60_000
 BUCKET_TOKENS = 1 << 20
+LIST_ROWS = 2000
 BLOCK = 512
 COLUMNS = 4096
 
@@ -194,7 +195,7 @@ def join_within_batch(buckets: int):
     """Map function: prefix lists of each batch, one entry a list, and the links already made."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(low, LIST_ROWS) for b in batches for low in range(0, len(b), LIST_ROWS)):
             prefix = batch.column("prefix").to_numpy().astype(np.int64)
             tokens = unpack48(b"".join(t[: 6 * p] for t, p in zip(batch.column("tokens").to_pylist(), prefix)))
             n = batch.column("n").to_numpy()

@@ -64,7 +64,7 @@ def test_code_switched_words_get_their_own_language():
     switched = " ".join(rng.choice(parts["x"], 10)) + " " + " ".join(rng.choice(parts["y"], 10))
     block = next(texts_of(pa.array([switched])))
     words = crf.letter_runs(block)
-    got = crf.posteriors(m.word_scores(words), words.first, m).argmax(axis=1)
+    got = crf.posteriors(m.word_scores(words)[0], words.first, m).argmax(axis=1)
     assert got.tolist() == [0] * 10 + [1] * 10
 
 
@@ -104,3 +104,10 @@ def test_no_rows_or_no_labels(no_docs, edge_docs):
     unlabelled = edge_docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in crf.language_of(unlabelled).collect()} == {"und"}
     assert crf.in_known_language(no_docs).collect() == []
+
+
+def test_a_repeated_line_does_not_outvote_the_rest(spark, small):
+    training = spark.read.parquet(f"{small}/documents.parquet")
+    german = max((r.text for r in training.where("lang = 'de'").collect()), key=len)[:2000]
+    docs = spark.createDataFrame([(1, german + " the and of" * 3000, None)], "doc_id long, text string, lang string")
+    assert crf.language_of(docs, training).first().lang_pred == "de"
