@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerlens.llm.store import stored
+
 # Spellings that licence matching treats as equal, the second one canonical.
 EQUIVALENT = [
     ("licence", "license"),
@@ -105,15 +107,17 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     ``line_licenses`` are the distinct licences of whole lines, in order, null
     if there is none.  Rows that share id and text share what is found.
     """
-    table = known_digests(known_notices(docs.sparkSession) if known is None else known)
+    # Stored, so that Spark knows its size and shuffles no lines if it is small.
+    table = stored(known_digests(known_notices(docs.sparkSession) if known is None else known), "licenses")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), spelled(F.col("text").cast("string")).alias("text"))
-    whole = rows.select("doc_id", digest(words_only(F.col("text"))).alias("text_digest"))
-    lines = rows.select("doc_id", "text", F.explode(F.split("text", "\n")).alias("line"))
+    rows = rows.select("doc_id", "text", digest(words_only(F.col("text"))).alias("text_digest"))
+    whole = rows.select("doc_id", "text_digest")
+    lines = rows.select("doc_id", F.col("text_digest").alias("of"), F.explode(F.split("text", "\n")).alias("line"))
     matched = (
-        lines.where("trim(line) <> ''")
-        .select("doc_id", "text", digest(words_only(F.col("line"))).alias("digest"))
+        lines.select("doc_id", "of", digest(words_only(F.col("line"))).alias("digest"))
+        .where("digest IS NOT NULL")
         .join(table, "digest")
-        .select("doc_id", digest(words_only(F.col("text"))).alias("of"), "license")
+        .select("doc_id", "of", "license")
     )
     copies = whole.groupBy("doc_id", "text_digest").agg(F.count(F.lit(1)).alias("rows"))
     found = matched.groupBy(F.col("doc_id").alias("by"), "of").agg(
