@@ -17,10 +17,12 @@ so both places of a repeat keep the same suffix, about a tenth of all.
    spans; a repeat longer than ``length`` is the union of its runs.
 
 Suffixes that a large share of all rows has would meet in one task.  They are
-counted first, over all rows: at most (suffixes a row) / ``COMMON`` can reach
-the share ``COMMON``, so their list is bounded and goes to every task, and such a
-suffix is dealt out by first words and run together.  Equal texts within a
-batch are matched there and sent on once.
+counted first, over all rows; batches leave out what is below half of the
+share ``COMMON`` among their own rows, so whatever reaches ``COMMON`` overall is
+counted with half of it at least.  At most 2 (suffixes a row) / ``COMMON`` can
+be, so their list is bounded and goes to every task, and such a suffix is dealt
+out by first words and run together.  Equal texts within a batch are matched
+there and sent on once.
 
 Words are lower-cased (A-Z).  Null, empty and shorter texts have no passages;
 repeated rows repeat each other; a passage that repeats only within its own
@@ -316,7 +318,9 @@ def repeated_passages(docs: DataFrame, length: int = 50) -> DataFrame:
     size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     buckets = max(1, math.ceil(size[1] / 6 / BUCKET_WORDS))
     counted = rows.select("text").mapInArrow(common_suffixes(length), "anchor long, rows long")
-    common = counted.groupBy("anchor").agg(F.sum("rows").alias("rows")).where(F.col("rows") >= max(1000, COMMON * size[0]))
+    common = counted.groupBy("anchor").agg(F.sum("rows").alias("rows")).where(
+        F.col("rows") >= max(1000, COMMON * size[0] / 2)
+    )
     anchors = np.sort(np.array([r.anchor for r in common.select("anchor").collect()], np.int64).view(U64))
     dealt = rows.mapInArrow(deal_suffixes(length, buckets, anchors), SCHEMA)
     matched = dealt.groupBy("bucket").applyInArrow(lean(match_suffixes(length)), SCHEMA)
