@@ -37,7 +37,11 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "StringStartsWith(lsoa11cd,E)" in plan(areas.filter(orgs.is_english("lsoa11cd")))
 
 
-@pytest.mark.parametrize("name", sorted(q.QUERIES))
+# These run fits before they have a plan, which is then that of kmeans_assign_fixed or silhouette_labels.
+FITTED = {"kmeans_best_of", "wss_sweep", "silhouette_sweep", "index_clusters", "index_clusters_parent"}
+
+
+@pytest.mark.parametrize("name", sorted(set(q.QUERIES) - FITTED))
 def test_no_cross_or_nested_loop_joins(spark, no_broadcast, name):
     text = plan(q.QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
