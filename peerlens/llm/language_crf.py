@@ -300,16 +300,26 @@ def predict(model: Model, passed: list[str]):
 def fit(
     labelled: DataFrame, docs_per_language: int = 128, max_bytes: int = 65_536, max_languages: int = 200
 ) -> Model:
-    """Train on ``labelled(doc_id, text, lang)``: at most ``docs_per_language`` texts of each language."""
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    sample = (
+    """Train on ``labelled(doc_id, text, lang)``: at most ``docs_per_language`` texts of each language.
+
+    Ids are drawn before texts are fetched; a row that repeats counts once.
+    """
+    bound = docs_per_language * max_languages
+    usable = (
         labelled.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
         .where(F.octet_length("text") <= max_bytes)
+        .select("lang", "doc_id", "text", F.xxhash64("text").alias("digest"))
+    )
+    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "digest")
+    drawn = (
+        usable.select("lang", "doc_id", "digest")
         .withColumn("rank", F.row_number().over(rank))
         .where(F.col("rank") <= docs_per_language)
-        .select("lang", "rank", "text")
-        .limit(docs_per_language * max_languages + 1)
+        .groupBy("lang", "doc_id", "digest")
+        .agg(F.min("rank").alias("rank"))
+        .limit(bound + 1)
     )
+    sample = usable.join(F.broadcast(drawn), ["lang", "doc_id", "digest"]).groupBy("lang", "rank").agg(F.min("text").alias("text"))
     rows = sorted((r.lang, r.rank, r.text) for r in sample.collect())
     if len({lang for lang, _, _ in rows}) > max_languages:
         raise ValueError(f"more than {max_languages} languages are labelled")
