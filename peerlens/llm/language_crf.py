@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from peerlens.llm.store import small_batches
 from peerlens.llm.words import LOWER, U64, Texts, mix, texts_of
 
 SLOTS = 1 << 16
@@ -304,6 +305,7 @@ def fit(
 
     Ids are drawn before texts are fetched; a row that repeats counts once.
     """
+    small_batches(labelled.sparkSession)
     bound = docs_per_language * max_languages
     usable = (
         labelled.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")

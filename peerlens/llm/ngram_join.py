@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from peerlens.llm import exchange
 from peerlens.llm.exchange import bucket_of, pack48, unpack48
-from peerlens.llm.store import components, discard, stored
+from peerlens.llm.store import components, discard, small_batches, stored
 from peerlens.llm.words import U64, distinct_windows, lean, mix, sums_by, texts_of
 
 BATCH_TOKENS = 1 << 20
@@ -331,6 +331,7 @@ def ngram_groups(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFram
     Other columns are ignored.  ``n_links`` counts the other rows that the row
     links with directly, copies included.
     """
+    small_batches(docs.sparkSession)
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = whole.where("doc_id IS NOT NULL")
     sized = stored(

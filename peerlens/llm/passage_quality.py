@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerlens.llm.language_crf import held_out
+from peerlens.llm.store import small_batches
 from peerlens.llm.words import U64, Texts, mix, texts_of
 
 PASSAGE = 64
@@ -242,6 +243,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ``labels`` has ``doc_id`` and ``quality``; labels other than 0 and 1 and labels of
     held out documents teach nothing.  If either label is missing, every score is 0.5.
     """
+    small_batches(docs.sparkSession)
     known = labels.where(~held_out(1, 3)).select("doc_id", F.col("quality").alias("label")).where("doc_id IS NOT NULL")
     texts = docs.where(~held_out(1, 3)).select("doc_id", F.col("text").cast("string").alias("text"))
     rank = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")

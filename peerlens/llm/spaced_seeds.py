@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from peerlens.llm.store import stored
+from peerlens.llm.store import small_batches, stored
 from peerlens.llm.words import LOWER, U64, Texts, mix, texts_of
 
 # Masks: 1 reads the word, 0 ignores it.
@@ -220,6 +220,7 @@ def benchmark_leaks(
     ``benchmark`` has ``item_id`` and ``text``; rows that lack either take no
     part.  Rows that repeat are reported as often.  Word places count from 0.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key), F.col("text").cast("string").alias("text"))
     kind = rows.schema[key].dataType.simpleString()
     schema = f"{key} {kind}, {LEAKS}"
@@ -239,6 +240,7 @@ def leaked_documents(leaks: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose text holds no leak; the columns stay and nothing is shuffled."""
+    small_batches(docs.sparkSession)
     kind = docs.schema
     tables = list(benchmark_parts(benchmark, options.pop("part_words", 2_000_000)))
     settings = {"min_words": 13, "share": 0.8, "tolerance": 0.2} | options

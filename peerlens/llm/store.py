@@ -39,6 +39,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+SPARKS_OWN = 64 << 20
+
+
+def small_batches(spark: SparkSession, limit: int = 8 << 20) -> None:
+    """Whole texts go to Python by ``limit`` bytes at a time, unless the session sets a limit itself.
+
+    Spark's own limit holds several times its bytes in the JVM and in each worker.
+    """
+    if spark.conf.get(BATCH_BYTES, "").rstrip("b") == str(SPARKS_OWN):
+        spark.conf.set(BATCH_BYTES, str(limit))
+
+
 def discard(df: DataFrame) -> None:
     """Remove the files of a stored table that nothing reads any more."""
     spark = df.sparkSession

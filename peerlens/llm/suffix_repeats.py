@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerlens.llm.exchange import bucket_of, pack48, unpack48
+from peerlens.llm.store import small_batches
 from peerlens.llm.words import U64, Texts, lean, mix, powers, texts_of
 
 ANCHOR = 32
@@ -314,6 +315,7 @@ def repeated_passages(docs: DataFrame, length: int = 50) -> DataFrame:
     """
     if length <= ANCHOR or length - ANCHOR > 255:
         raise ValueError(f"passages are longer than {ANCHOR} words, by 255 at most")
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     buckets = max(1, math.ceil(size[1] / 6 / BUCKET_WORDS))

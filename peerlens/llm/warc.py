@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerlens.llm.store import small_batches
+
 VERSION = b"WARC/1.1"
 # Source fields that derivatives keep.
 KEPT = ("WARC-Target-URI", "WARC-Date", "WARC-IP-Address", "WARC-Warcinfo-ID")
@@ -177,6 +179,7 @@ def _each(make: Callable[[dict], list[bytes]], asked: list[str], passed: str):
 
 def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """``(page_id, record)``: a response record of each row of ``pages(page_id, url, html)``."""
+    small_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     make = lambda row: [response(row["page_id"], row["url"], row["html"], date)]
     return rows.mapInArrow(_each(make, ["page_id", "url", "html"], "page_id"), "page_id long, record binary")
