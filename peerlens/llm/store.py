@@ -48,7 +48,7 @@ def small_batches(spark: SparkSession, limit: int = 8 << 20) -> None:
 
     Spark's own limit holds several times its bytes in the JVM and in each worker.
     """
-    if spark.conf.get(BATCH_BYTES, "").rstrip("b") == str(SPARKS_OWN):
+    if spark.conf.get(BATCH_BYTES).rstrip("b") == str(SPARKS_OWN):
         spark.conf.set(BATCH_BYTES, str(limit))
 
 
