@@ -48,7 +48,7 @@ from peerlens.llm.words import U64, Texts, lean, mix, powers, texts_of
 ANCHOR = 32
 BATCH_WORDS = 1 << 20
 BATCH_DOCUMENTS = 60_000
-BUCKET_WORDS = 1 << 21
+BUCKET_WORDS = 1 << 19
 COMMON = 0.002
 
 
