@@ -151,8 +151,10 @@ def deal_suffixes(length: int, buckets: int, common: np.ndarray):
         source = np.repeat(np.arange(len(anchors)), each)
         first = (np.cumsum(counts) - counts)[source]
         offset = np.where(hot[source], _ragged(np.zeros(len(each), np.int64), each), 0)
-        tokens = np.where(hot[source], mix(anchors[source] ^ runs[np.minimum(first + offset, len(runs) - 1)]) if len(runs) else 0, anchors[source])
-        tokens = tokens.astype(U64) >> U64(16)
+        extension = np.zeros(len(source), U64)
+        extension[hot[source]] = runs[(first + offset)[hot[source]]]
+        # Minimisers are small hashes: scrambled again, they spread over all buckets.
+        tokens = mix(anchors[source] ^ extension) >> U64(16)
         starts, places = starts[source] + offset, places[source]
         first, counts = first + offset, np.where(hot[source], 1, counts[source])
         to = bucket_of(tokens, 48, buckets)
