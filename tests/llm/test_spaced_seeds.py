@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 
 from peerlens.llm import spaced_seeds as s
@@ -53,6 +55,48 @@ def test_substituted_words_are_tolerated(spark):
     assert all(r.n_words > r.n_same >= 35 for r in leaks.collect())
 
 
+def lawful(flags):
+    """The law itself: a stretch with enough agreeing words of which at most a fifth differ."""
+    n = len(flags)
+    least = min(13, math.ceil(0.8 * n))
+    return any(
+        sum(flags[i:j]) >= least and 5 * (j - i - sum(flags[i:j])) <= j - i for i in range(n) for j in range(i + 1, n + 1)
+    )
+
+
+def test_every_arrangement_that_is_a_leak_is_found(spark):
+    rng = random.Random(4)
+    items, rows, leaked = [], [], set()
+    for n in range(1, 21):
+        items.append([f"i{n}w{k}" for k in range(n)])
+        for changed in range(min(n, 5)):
+            places = list(itertools.combinations(range(n), changed))
+            for some in places if len(places) <= 150 else rng.sample(places, 150):
+                flags = [k not in some for k in range(n)]
+                text = [w if same else f"x{len(rows)}" for w, same in zip(items[-1], flags)]
+                around = ("", "") if len(rows) % 3 == 0 else (sentence(rng, 9), sentence(rng, 9))
+                if lawful(flags):
+                    leaked.add((len(rows), n - 1))
+                rows.append((len(rows), f"{around[0]} {' '.join(text)} {around[1]}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = s.benchmark_leaks(docs, bench(spark, [" ".join(i) for i in items]))
+    assert set(found(got)) == leaked and 2000 < len(leaked) < len(rows)
+
+
+def test_long_overlaps_with_regular_changes(spark):
+    rng = random.Random(5)
+    item = [f"b{k}" for k in range(59)]
+    rows = []
+    for step in (4, 5, 6, 7):
+        rows += [(len(rows) + i, " ".join("x" if k % step == i % step else w for k, w in enumerate(item))) for i in range(step)]
+    for _ in range(300):
+        some = rng.sample(range(59), 11)
+        rows.append((len(rows), " ".join("x" if k in some else w for k, w in enumerate(item))))
+    got = s.benchmark_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench(spark, [" ".join(item)]))
+    expected = {(i, 0) for i, t in rows if lawful([w != "x" for w in t.split()])}
+    assert set(found(got)) == expected and 300 < len(expected)
+
+
 def test_one_overlap_is_described_where_it_is(spark):
     item = " ".join(f"b{i}" for i in range(30))
     docs = spark.createDataFrame([(7, f"x y {item.upper()}! z")], "doc_id long, text string")
