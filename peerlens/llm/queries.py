@@ -15,9 +15,13 @@ from peerlens.llm.passage_quality import quality_scores
 from peerlens.llm.sharding import shard_table
 from peerlens.llm.spaced_seeds import benchmark_leaks, leaked_documents
 from peerlens.llm.suffix_repeats import repeated_passages
+from peerlens.llm.token_alignment import token_alignment
 from peerlens.llm.vector_file import top_k
 from peerlens.llm.warc import derive, described, responses
 
+#: Where the public vocabulary files lie.
+TOKENIZERS = "/opt/tokenizers"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -94,3 +98,10 @@ def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences that whole documents, or whole lines of them, are."""
     return license_scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents under two public tokenizers, aligned by bytes."""
+    byte_bpe, piece_bpe = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
+    return token_alignment(table(spark, sf_dir, "documents"), byte_bpe, piece_bpe)
