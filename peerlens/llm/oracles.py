@@ -140,3 +140,77 @@ FROM whole LEFT JOIN known ON known.canonical = whole.canonical LEFT JOIN found
 
 
 LICENSE_SCAN = _license_scan()
+
+# CRC-32 is linear: the CRC of a text is the XOR of what each byte gives at its distance from the end.
+IMPORTANCE = r"""
+WITH RECURSIVE
+bytes AS (
+    SELECT b, b AS v, 0 AS k FROM (SELECT unnest(range(256)) AS b)
+    UNION ALL
+    SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bytes WHERE k < 8
+),
+one AS (SELECT b, v FROM bytes WHERE k = 8),
+words AS (
+    SELECT 'c' AS kind, doc_id, row_number() OVER () AS id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+    UNION ALL
+    SELECT 't', NULL, row_number() OVER (), regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+    FROM benchmark
+),
+placed AS (SELECT kind, id, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+features AS (
+    SELECT kind, id, f, count(*) AS n FROM (
+        SELECT kind, id, w[i] AS f FROM placed
+        UNION ALL
+        SELECT kind, id, w[i] || ' ' || w[i + 1] FROM placed WHERE i < len(w)
+    ) GROUP BY ALL
+),
+names AS (SELECT DISTINCT f FROM features),
+longest AS (SELECT max(strlen(f)) AS bytes FROM names),
+far AS (
+    SELECT 0 AS d, b, v FROM one
+    UNION ALL
+    SELECT d + 1, far.b, xor(far.v >> 8, one.v) FROM far JOIN one ON one.b = far.v & 255 WHERE d < (SELECT bytes FROM longest)
+),
+zeros AS (
+    SELECT 0 AS d, 4294967295 AS v
+    UNION ALL
+    SELECT d + 1, xor(zeros.v >> 8, one.v) FROM zeros JOIN one ON one.b = zeros.v & 255 WHERE d < (SELECT bytes FROM longest)
+),
+spelled AS (
+    SELECT f, strlen(f) AS bytes, ('0x' || substr(hex(f), 2 * i + 1, 2))::INT AS b, strlen(f) - 1 - i AS d
+    FROM (SELECT f, unnest(range(strlen(f))) AS i FROM names)
+),
+hashed AS (
+    SELECT f, xor(xor(bit_xor(far.v), any_value(zeros.v)), 4294967295) % 10000 AS bucket
+    FROM spelled JOIN far ON far.d = spelled.d AND far.b = spelled.b JOIN zeros ON zeros.d = spelled.bytes
+    GROUP BY f
+),
+totals AS (
+    SELECT bucket, coalesce(sum(n) FILTER (kind = 'c'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (kind = 't'), 0)::DOUBLE AS t
+    FROM features JOIN hashed USING (f) GROUP BY bucket
+),
+gains AS (
+    SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM totals) + 10000)
+        / ((s + 1) * ((SELECT sum(t) FROM totals) + 10000)))) AS gain
+    FROM totals
+),
+weights AS (
+    SELECT id, sum(n) AS n_features, floor(sum(n * gain) / sum(n)) AS weight
+    FROM features JOIN hashed USING (f) JOIN gains USING (bucket) WHERE kind = 'c' GROUP BY id
+),
+scored AS (
+    SELECT doc_id, id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+        (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || coalesce(doc_id::VARCHAR, ''))[:8])::BIGINT
+        + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+    FROM words LEFT JOIN weights USING (id) WHERE kind = 'c'
+),
+ranked AS (
+    SELECT id, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () * 25 // 100 AS drawn
+    FROM scored WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank, n_words
+FROM scored LEFT JOIN ranked USING (id)
+"""

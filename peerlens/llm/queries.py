@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from peerlens.llm import oracles
+from peerlens.llm.importance_sample import importance_sample
 from peerlens.llm.language_crf import language_of
 from peerlens.llm.license_scan import license_scan
 from peerlens.llm.mixing import mix
@@ -105,3 +106,9 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents under two public tokenizers, aligned by bytes."""
     byte_bpe, piece_bpe = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
     return token_alignment(table(spark, sf_dir, "documents"), byte_bpe, piece_bpe)
+
+
+@query(oracles.IMPORTANCE)
+def op12_head_tail_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of all documents, drawn by their likeness to the benchmark."""
+    return importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
