@@ -13,6 +13,7 @@ from peerlens.llm.license_scan import license_scan
 from peerlens.llm.mixing import mix
 from peerlens.llm.ngram_join import ngram_groups
 from peerlens.llm.passage_quality import quality_scores
+from peerlens.llm.personal_data import personal_data
 from peerlens.llm.sharding import shard_table
 from peerlens.llm.spaced_seeds import benchmark_leaks, leaked_documents
 from peerlens.llm.suffix_repeats import repeated_passages
@@ -112,3 +113,9 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_head_tail_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quarter of all documents, drawn by their likeness to the benchmark."""
     return importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op13_contextual_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents, by rules and by the contexts that it stands in."""
+    return personal_data(table(spark, sf_dir, "documents"))
