@@ -102,29 +102,31 @@ def may_be(kind: int, text: Column) -> Column:
     return fits & digits(text).between(low, high) if high else fits
 
 
-def items(text: Column, found: Column, kind: int) -> Column:
+def items(kind: int) -> Column:
     """What one pattern finds in a text: the length of the gap before each match, and the match.
 
     Of a candidate, its contexts; of what a rule matches, whether it is kept.
+    Matches and the gaps around them are zipped: a lambda that took them by
+    place from the arrays could make these anew for every match.
     """
-    gaps = F.when(F.size(found) > 0, F.split(text, SLOT if kind == CANDIDATE else RULES[kind], -1))
+    found, gaps = F.col(f"found{kind}"), F.col(f"gaps{kind}")
+    candidate, null = kind == CANDIDATE, F.lit(None).cast("string")
 
-    def item(match: Column, place: Column) -> Column:
-        gap = F.get(gaps, place)
-        null = F.lit(None).cast("string")
-        candidate = kind == CANDIDATE
+    def item(match: Column, before: Column, behind: Column) -> Column:
         return F.struct(
             F.lit(kind).alias("kind"),
-            place.alias("place"),
-            F.length(gap).alias("gap"),
+            F.length(before).alias("gap"),
             F.length(match).alias("size"),
             (F.lit(True) if candidate else sound(kind, match)).alias("kept"),
             (match if candidate else null).alias("match"),
-            (F.right(gap, F.lit(CONTEXT)) if candidate else null).alias("before"),
-            (F.left(F.get(gaps, place + 1), F.lit(CONTEXT)) if candidate else null).alias("behind"),
+            (F.right(before, F.lit(CONTEXT)) if candidate else null).alias("before"),
+            (F.left(behind, F.lit(CONTEXT)) if candidate else null).alias("behind"),
         )
 
-    return F.transform(found, item)
+    pairs = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(m.alias("m"), g.alias("g")))
+    if not candidate:
+        return F.transform(pairs, lambda p: item(p["m"], p["g"], null))
+    return F.zip_with(pairs, F.slice(gaps, 2, F.size(found)), lambda p, behind: item(p["m"], p["g"], behind))
 
 
 def matched(docs: DataFrame) -> DataFrame:
@@ -134,20 +136,20 @@ def matched(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    patterns = [*RULES, SLOT]
+    patterns = dict(enumerate([*RULES, SLOT]))
+    none = F.array().cast("array<string>")
     # A text without a digit or an at sign has nothing to find.
     some = F.col("text").rlike("[0-9@]")
-    none = F.array().cast("array<string>")
-    found = texts.select(
-        "*", *(F.when(some, F.regexp_extract_all("text", F.lit(p), F.lit(0))).otherwise(none).alias(f"found{k}") for k, p in enumerate(patterns))
-    )
-    each = [items(F.col("text"), F.col(f"found{k}"), k) for k in range(len(patterns))]
-    return stored(found.select("uid", "doc_id", F.concat(*each).alias("items")), "matches")
+    all_of = lambda p: F.when(some, F.regexp_extract_all("text", F.lit(p), F.lit(0))).otherwise(none)
+    around = lambda k, p: F.when(F.size(f"found{k}") > 0, F.split("text", p, -1)).otherwise(none)
+    found = texts.select("*", *(all_of(p).alias(f"found{k}") for k, p in patterns.items()))
+    cut = found.select("*", *(around(k, p).alias(f"gaps{k}") for k, p in patterns.items()))
+    return stored(cut.select("uid", "doc_id", F.concat(*map(items, patterns)).alias("items")), "matches")
 
 
 def placed(found: DataFrame) -> DataFrame:
     """One row a match that counts, with its first and the character behind its last; candidates trimmed."""
-    rows = found.select("uid", F.explode("items").alias("item")).select("uid", "item.*")
+    rows = found.select("uid", F.posexplode("items").alias("place", "item")).select("uid", "place", "item.*")
     so_far = Window.partitionBy("uid", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap").cast("long") + F.col("size")).over(so_far)
     rows = rows.select("*", (end - F.col("size")).alias("start")).where("kept")
