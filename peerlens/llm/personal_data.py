@@ -48,8 +48,9 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 RULES = (EMAIL, IP, CARD, PHONE)
 NUMBER = r"[0-9]{12,}+|\(?[0-9]{1,6}(?:[\x20().-]{1,2}[0-9]{1,6})++"
-TOKEN = r"(?:\G|(?<![A-Za-z0-9._%@-]))[A-Za-z._%-]*+[0-9@][A-Za-z0-9._%@-]*+"
-SLOT = "|".join((PHONE, EMAIL, IP, NUMBER, TOKEN))
+TOKEN = r"(?<![A-Za-z0-9._%@-])[A-Za-z._%-]*+[0-9@][A-Za-z0-9._%@-]*+"
+# A candidate does not go on where one has ended: what is left of a run would be read again after each.
+SLOT = "|".join((PHONE, EMAIL, IP, NUMBER, TOKEN)).replace(r"\G|", "")
 WORD = r"[^\x20\x09-\x0D]+"
 
 BYTE_PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
@@ -64,8 +65,8 @@ def digits(text: Column) -> Column:
 
 
 def luhn(text: Column) -> Column:
-    """Whether the digits of a card number add up."""
-    plain = F.reverse(F.translate(text, " -", ""))
+    """Whether the digits of a card number, 19 at most, add up."""
+    plain = F.reverse(F.right(F.translate(text, " -", ""), F.lit(19)))
 
     def add(total: Column, place: Column) -> Column:
         digit = F.substring(plain, place, F.lit(1)).cast("int") * (F.lit(2) - place % 2)
@@ -226,9 +227,11 @@ def learned_kinds(edges: DataFrame) -> DataFrame:
 
 def free_of_rules(spans: DataFrame) -> DataFrame:
     """Rules' spans, and those others that overlap none of them."""
-    by_start = Window.partitionBy("uid").orderBy("start", "kind", "end")
-    before = by_start.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_start.rowsBetween(1, Window.unboundedFollowing)
+    forth, back = ("start", "kind", "end"), (F.desc("start"), F.desc("kind"), F.desc("end"))
+    # Backwards instead of to the end, which would look at all later rows of each row again.
+    before, after = (
+        Window.partitionBy("uid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1) for keys in (forth, back)
+    )
     rule = lambda c: F.when(F.col("rule"), F.col(c))
     marked = spans.select(
         "*", F.max(rule("end")).over(before).alias("reached"), F.min(rule("start")).over(after).alias("next")

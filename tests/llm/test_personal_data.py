@@ -1,14 +1,11 @@
 """Personal data against a plain version: the rules as given, the graph with dictionaries."""
 
 import hashlib
-import math
 import random
 import re
 import time
 from collections import defaultdict
 
-import pytest
-
 from peerlens.llm import personal_data as P
 from peerlens.llm.queries import QUERIES
 
@@ -19,8 +16,8 @@ PLAIN = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 SLOT = "|".join(
-    (PLAIN["phone"], PLAIN["email"], PLAIN["ip"], r"[0-9]{12,}", r"\(?[0-9]{1,6}([\x20().-]{1,2}[0-9]{1,6})+",
-     r"[A-Za-z._%-]*[0-9@][A-Za-z0-9._%@-]*")
+    (PLAIN["phone"], r"(?<![A-Za-z0-9._%+-])" + PLAIN["email"], "(?<![0-9])" + PLAIN["ip"], r"[0-9]{12,}",
+     r"\(?[0-9]{1,6}([\x20().-]{1,2}[0-9]{1,6})+", r"(?<![A-Za-z0-9._%@-])[A-Za-z._%-]*[0-9@][A-Za-z0-9._%@-]*")
 )
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SMALL = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
@@ -208,14 +205,14 @@ def test_no_documents(spark, no_docs):
     assert P.personal_data(no_docs).collect() == []
 
 
-@pytest.mark.parametrize("part", ["a", "1", "a.", "1.", "1 ", "+1", "+1 ", "a@", "a@b.", "(1", "-", "é"])
-def test_long_runs_take_linear_time(spark, part):
-    rows = [(1, part * 300_000)]
+def test_long_runs_take_linear_time(spark):
+    parts = ["a", "1", "a.", "1.", "1 ", "+1", "+1 ", "a@", "a@b.", "(1", "-", "é", "1-1a", "1.1.1.1a", "a@b.c_"]
+    docs = spark.createDataFrame([(i, p * 100_000) for i, p in enumerate(parts)], "doc_id long, text string")
     start = time.time()
-    found = run(spark, rows)
+    found = {parts[r.doc_id]: r for r in P.personal_data(docs.repartition(8)).collect()}
     assert time.time() - start < 60
-    n = {k: sum(kept(k, m) for m in ms) for k, ms in {"phone": [], "email": [part * 300_000] if part == "a@b." else []}.items()}
-    assert len(found) == 1 and found[0].n_email <= 1 + sum(n.values()) and not math.isnan(found[0].n_ip)
+    assert found["1."].n_ip == 25_000 and found["a@b."].n_email == 50_000 and found["a@b.c_"].n_email == 100_000
+    assert found["1.1.1.1a"].n_ip == 100_000 and not found["a"].spans
 
 
 def test_no_python_in_the_plan(spark, small):
