@@ -16,6 +16,10 @@ give back space and text (a literal U+2581, say): zeros and ``''``.  Texts that
 are longer than ``SEGMENT`` characters are encoded in pieces cut where neither
 tokenizer joins tokens, with the same result.  Repeated rows count each; a null
 id stays null.  No documents: no rows.
+
+Both tokenizers end a token where the segments are cut, and at every other
+space of that sort.  So a task encodes the words between two such places once
+each, as long as it remembers them, and puts the texts' tokens together.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -37,6 +41,7 @@ from peerlens.llm.words import release
 
 SEGMENT = 1 << 16
 BLOCK = 1 << 19
+KNOWN_WORDS = 1 << 18
 CUT = re.compile(r"(?<=\S) (?=\S)")
 EMPTY = np.zeros(0, np.int64)
 
@@ -105,33 +110,74 @@ class Tokenizers:
         self.a_words = [f"{i}{after}" for after in ",|" for i in range(len(self.a_bytes))]
         self.b_words = [f"{i}{after}" for after in ",;" for i in range(len(self.b_bytes))]
 
-    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-        """Ids of both sides of each piece, and whether both give back space and piece."""
-        a_ids = [x.ids for x in self.a.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False)]
-        b_ids = self.b.encode(pieces, num_threads=1)
+    def encode(self, words: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
+        """Ids of both sides of each word, and whether both give back space and word."""
+        a_ids = [x.ids for x in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
+        b_ids = self.b.encode(words, num_threads=1)
         sound = [
             all(
                 b"".join(map(table.__getitem__, ids)) == whole
                 for table, ids in ((self.a_bytes, one_a), (self.b_bytes, one_b))
             )
-            for one_a, one_b, whole in zip(a_ids, b_ids, (b" " + p.encode() for p in pieces))
+            for one_a, one_b, whole in zip(a_ids, b_ids, (b" " + w.encode() for w in words))
         ]
-        return a_ids, b_ids, np.array(sound, bool)
+        return a_ids, b_ids, sound
+
+
+class Side:
+    """Ids of the words known so far, one after the other."""
+
+    def __init__(self) -> None:
+        self.ids, self.ends = EMPTY, np.zeros(1, np.int64)
+
+    def add(self, ids: list[list[int]]) -> None:
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.int64)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)])
+
+    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these words in order, and how many each has."""
+        low, sizes = self.ends[words], self.ends[words + 1] - self.ends[words]
+        before = np.cumsum(sizes) - sizes
+        return self.ids[np.repeat(low - before, sizes) + np.arange(sizes.sum())], sizes
+
+
+class Encoder:
+    """Encodes each distinct word, that is what stands between two cuts, once; forgets them when there are many."""
+
+    def __init__(self, tools: Tokenizers):
+        self.tools = tools
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.a, self.b, self.sound = Side(), Side(), np.zeros(0, bool)
+
+    def tokens(self, pieces: list[str]) -> tuple[pd.DataFrame, pd.DataFrame, np.ndarray]:
+        """Both sides' tokens of the sound pieces, and which these are."""
+        if len(self.place) > KNOWN_WORDS:
+            self.forget()
+        cut = [CUT.split(p) for p in pieces]
+        place, known = self.place, len(self.place)
+        words = np.fromiter((place.setdefault(w, len(place)) for ws in cut for w in ws), np.int64)
+        new = list(islice(place, known, None))
+        if new:
+            a_ids, b_ids, sound = self.tools.encode(new)
+            self.a.add(a_ids)
+            self.b.add(b_ids)
+            self.sound = np.concatenate([self.sound, np.array(sound, bool)])
+        piece = np.repeat(np.arange(len(pieces)), [len(ws) for ws in cut])
+        sound = np.bincount(piece[~self.sound[words]], minlength=len(pieces)) == 0
+        # Where a side does not give back the bytes, the sides' offsets part ways: such pieces stay out.
+        words, piece = words[sound[piece]], piece[sound[piece]]
+        sides = (placed(*side.of(words), piece, sizes) for side, sizes in ((self.a, self.tools.a_sizes), (self.b, self.tools.b_sizes)))
+        return *sides, sound
 
 
-def placed(ids: list[list[int]], sizes: np.ndarray) -> pd.DataFrame:
-    """Tokens of consecutive pieces with their byte ranges, counted on through all of them."""
-    flat = np.fromiter(chain.from_iterable(ids), np.int64)
-    end = np.cumsum(sizes[flat])
-    return pd.DataFrame(
-        {
-            "at": end - sizes[flat],
-            "doc": np.repeat(np.arange(len(ids)), [len(x) for x in ids]),
-            "id": flat,
-            "end": end,
-            "token": np.arange(len(flat)),
-        }
-    )
+def placed(ids: np.ndarray, counts: np.ndarray, doc: np.ndarray, sizes: np.ndarray) -> pd.DataFrame:
+    """Tokens of consecutive words with their pieces and byte ranges, counted on through all of them."""
+    end = np.cumsum(sizes[ids])
+    columns = {"at": end - sizes[ids], "doc": np.repeat(doc, counts), "id": ids, "end": end, "token": np.arange(len(ids))}
+    return pd.DataFrame(columns)
 
 
 def overlapping(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -165,14 +211,9 @@ def written(tools: Tokenizers, a: pd.DataFrame, b: pd.DataFrame, links: pd.DataF
     ]
 
 
-def align(tools: Tokenizers, pieces: list[str]) -> tuple[np.ndarray, dict[str, np.ndarray], list[bytes], np.ndarray, np.ndarray]:
+def align(encoder: Encoder, pieces: list[str]) -> tuple[np.ndarray, dict[str, np.ndarray], list[bytes], np.ndarray, np.ndarray]:
     """Of each piece whether it is sound, its numbers and its groups; the links' pieces and pair codes, in order."""
-    a_ids, b_ids, sound = tools.encode(pieces)
-    a, b = placed(a_ids, tools.a_sizes), placed(b_ids, tools.b_sizes)
-    # Where a side does not give back the bytes, the sides' offsets part ways: such pieces stay out.
-    if not sound.all():
-        a_ids, b_ids = ([x if ok else [] for x, ok in zip(ids, sound)] for ids in (a_ids, b_ids))
-        a, b = placed(a_ids, tools.a_sizes), placed(b_ids, tools.b_sizes)
+    a, b, sound = encoder.tokens(pieces)
     overlaps = overlapping(a, b)
     links = overlaps[overlaps["end_a"] == overlaps["end_b"]].sort_values("token_a")
     per_piece = lambda column: np.bincount(column, minlength=len(pieces))
@@ -180,12 +221,12 @@ def align(tools: Tokenizers, pieces: list[str]) -> tuple[np.ndarray, dict[str, n
         "n_a": per_piece(a["doc"]),
         "n_b": per_piece(b["doc"]),
         # A group ends with each byte offset at which both sides have an end.
-        "n_groups": per_piece(links.drop_duplicates("end_a")["doc"]),
+        "n_groups": per_piece(links["doc"][np.diff(links["end_a"], prepend=-1) > 0]),
         "n_links": per_piece(links["doc"]),
         "n_overlaps": per_piece(overlaps["doc"]),
     }
-    code = links["id_a"].to_numpy() * len(tools.b_bytes) + links["id_b"].to_numpy()
-    return sound, numbers, written(tools, a, b, links, len(pieces)), links["doc"].to_numpy(), code
+    code = links["id_a"].to_numpy() * len(encoder.tools.b_bytes) + links["id_b"].to_numpy()
+    return sound, numbers, written(encoder.tools, a, b, links, len(pieces)), links["doc"].to_numpy(), code
 
 
 def blocks(texts: list[str], limit: int = BLOCK) -> Iterator[tuple[list[int], list[str]]]:
@@ -249,17 +290,17 @@ class Batch:
         return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
-def encoder(byte_bpe: bytes, piece_bpe: bytes):
+def aligner(byte_bpe: bytes, piece_bpe: bytes):
     """A function from batches of documents to what is stored of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tools = Tokenizers(byte_bpe, piece_bpe)
+        encoder = Encoder(Tokenizers(byte_bpe, piece_bpe))
         for number, table in enumerate(batches):
             batch = Batch(table.num_rows)
             for owner, pieces in blocks(table.column("text").to_pylist()):
-                batch.add(owner, align(tools, pieces))
+                batch.add(owner, align(encoder, pieces))
             yield batch.rows((TaskContext.get().partitionId() << 32) + number, table.column("doc_id").to_pylist())
             release()
 
@@ -312,7 +353,7 @@ def token_alignment(docs: DataFrame, byte_bpe: str, piece_bpe: str) -> DataFrame
         files = file_a.read(), file_b.read()
     sizes_b = len(Tokenizers(*files).b_bytes)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = stored(texts.mapInArrow(encoder(*files), STORED), "aligned")
+    rows = stored(texts.mapInArrow(aligner(*files), STORED), "aligned")
 
     pairs = rows.where("pairs IS NOT NULL").select("batch", "pairs", "counts").mapInArrow(pair_rows(sizes_b), PAIRS)
     totals = pairs.groupBy("a", "b").agg(F.sum("n").alias("count"))

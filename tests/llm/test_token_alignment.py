@@ -126,7 +126,7 @@ def test_merge_asof_finds_every_overlap(tools):
             cuts = sorted(rng.sample(range(1, total), rng.randrange(total))) if total > 1 else []
             sides.append([y - x for x, y in zip([0, *cuts], [*cuts, total])])
         sizes = T.np.arange(41)
-        a, b = (T.placed([x], sizes) for x in sides)
+        a, b = (T.placed(T.np.array(x), T.np.array([len(x)]), T.np.zeros(1, int), sizes) for x in sides)
         found = {(r.token_a, r.token_b) for r in T.overlapping(a, b).itertuples()}
         assert len(found) == len(T.overlapping(a, b))
         assert found == {
@@ -134,6 +134,14 @@ def test_merge_asof_finds_every_overlap(tools):
         }
 
 
+def test_words_are_forgotten_without_a_trace(spark, tools, monkeypatch):
+    monkeypatch.setattr(T, "KNOWN_WORDS", 50)
+    monkeypatch.setattr(T, "BLOCK", 1 << 10)
+    rows = [(i, " ".join(f"w{i * j}" for j in range(60))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    same(T.token_alignment(docs, *PATHS).select(*COLUMNS).collect(), plain(tools, rows))
+
+
 def test_one_pair_in_all_documents(spark, tools):
     rows = [(i, "the" if i % 3 else f"the {i}") for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
