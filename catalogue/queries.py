@@ -11,7 +11,7 @@ from catalogue.views import CONDITIONS, MEASURES, PAYMENTS, table, view
 from peerlens.functions.columns import names_containing, pick_positions, quoted, rename_all
 from peerlens.functions.missing import not_in_keeping_null
 from peerlens.operators import apportion as ap
-from peerlens.operators import clustering, neighbours, silhouette
+from peerlens.operators import balls, clustering, neighbours, silhouette
 from peerlens.operators.joins import chain_left, clashing_names, guarded_feature_join, left_lookup
 from peerlens.operators.layer import map_layer
 from peerlens.operators.reshape import wide_to_long
@@ -305,6 +305,21 @@ def neighbours_customer(spark, sf):
     return rounded(neighbours.nearest_and_farthest(_feature_vectors(spark, sf, "v_cust", CUSTOMER_FEATURES)))
 
 
+def _by_balls(vectors: DataFrame, k: int, wanted: str, ball_rows: int) -> DataFrame:
+    """One list found by pruned balls, in the form of the full comparison's."""
+    lists = balls.ball_lists(stage(vectors, "vectors"), k, [wanted], ball_rows).lists
+    first = neighbours.first_k(lists, k, farthest=wanted == "farthest")
+    return rounded(first.select("orig", "dest", "distance", "place"))
+
+
+def nearest_10_balls(spark, sf):
+    return _by_balls(_embeddings(spark, sf).select("key", "vec"), 10, "nearest", ball_rows=128)
+
+
+def farthest_10_balls(spark, sf):
+    return _by_balls(_feature_vectors(spark, sf, "v_feat_gap", FEATURES), 10, "farthest", ball_rows=64)
+
+
 # --- clusters -----------------------------------------------------------------------------------------
 
 
@@ -460,6 +475,8 @@ QUERIES: dict[str, Query] = {
     "nearest_10": nearest_10,
     "farthest_10": farthest_10,
     "nearest_10_block": nearest_10_block,
+    "nearest_10_balls": nearest_10_balls,
+    "farthest_10_balls": farthest_10_balls,
     "neighbours_customer": neighbours_customer,
     "kmeans_assign_fixed": kmeans_assign_fixed,
     "kmeans_best_of": kmeans_best_of,

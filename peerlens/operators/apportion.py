@@ -16,8 +16,10 @@ without ever being shuffled row by row.  If not, both sides are sorted and
 merged.
 
 Skew: an organisation owning a large share of the rows is combined on the map
-side.  An area owning a large share only matters to the sort-merge join; that
-feeds a shuffle on another key, so adaptive execution is free to split it.
+side.  An area owning a large share only matters to the sort-merge join, so
+areas with more than 1/1024 of the weights are counted first: these few are
+broadcast, their weights stay where they are, and only the others are sorted
+and merged.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from peerlens.functions.columns import quoted
 from peerlens.functions.missing import sum_ignoring
-from peerlens.operators.joins import BROADCAST_BYTES, small_or_not
+from peerlens.operators.joins import BROADCAST_BYTES, heavy_hitter_join
 from peerlens.operators.reshape import long_to_wide, wide_to_long
 from peerlens.sources.staging import stage
 
@@ -70,7 +72,11 @@ def apportion_sums(
     width = len(_parts(metrics)[0])
     areas = stage(_packed(geo_wide, metrics), "areas")
     row_bytes = 64 + len(_parts(metrics)) * (24 + 8 * width)
-    joined = weights.join(small_or_not(areas, row_bytes, broadcast_bytes), "geo_code", "inner")
+    if areas.count() * row_bytes <= broadcast_bytes:
+        joined = weights.join(F.broadcast(areas), "geo_code", "inner")
+    else:
+        needed = weights.select("geo_code", "weighting", *by)
+        joined = heavy_hitter_join(needed, areas, "geo_code")
     unrolled = joined.selectExpr(*map(quoted, by), "coalesce(double(weighting), 0D) AS w", "inline(parts)")
     return unrolled.groupBy(*by, "part").agg(
         *[F.expr(f"sum(coalesce(w * v{i}, 0D))").alias(f"n{i}") for i in range(width)],

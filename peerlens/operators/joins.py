@@ -2,8 +2,8 @@
 
 No broadcast hints on lookups: Spark broadcasts a side only when its size is
 known to be under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts
-and merges, with skewed partitions split at run time.  A hint is given only
-by ``small_or_not``, which counts the rows of a stored table first.
+and merges, with skewed partitions split at run time.  Hints are given only
+where rows of a stored table were counted first.
 """
 
 from __future__ import annotations
@@ -14,18 +14,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerlens.functions.columns import quoted
-
+from peerlens.sources.staging import stage
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def small_or_not(stored: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """A stored table, hinted for broadcast if its rows fit the limit; else as it is.
+#: A key with more than this share of the rows is hot, so there are at most 1024 hot keys.
+HOT_SHARE = 1 / 1024
+
+
+def hot_keys(big: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+    """The keys that hold more than ``share`` of the rows: a stored table of less than 1 / ``share`` rows.
+
+    Rows are counted where they are read, so what is shuffled is a row a task and key.
+    """
+    counts = stage(big.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows")), "key-counts")
+    limit = (counts.agg(F.sum("rows")).first()[0] or 0) * share
+    return stage(counts.where(F.col("rows") > limit).select(key), "hot-keys")
+
+
+def heavy_hitter_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner", share: float = HOT_SHARE) -> DataFrame:
+    """``big`` joined with ``small`` on ``key``, whatever share of the rows one key holds.
 
-    Spark's own estimate of a table derived by joins is far too large, so it
-    would shuffle the big side of the join needlessly.
+    Rows of hot keys stay where they are and meet the few rows that ``small``
+    has for these keys by broadcast; the others, none of which can fill a task,
+    are sorted and merged.  ``how`` is ``inner`` or ``left``; a missing key
+    matches nothing.  ``big`` is read twice, so it should be a stored table or
+    a scan.  For ``small`` with few rows a key, as in a lookup: what is broadcast
+    are the rows of at most 1 / ``share`` keys.
     """
-    return F.broadcast(stored) if stored.count() * row_bytes <= limit else stored
+    if how not in ("inner", "left"):
+        raise ValueError(f"no {how} join here")
+    hot = hot_keys(big, key, share)
+    is_hot = hot.withColumn("is_hot", F.lit(True))
+    hot_rows = big.join(F.broadcast(hot), key, "left_semi")
+    hot_side = small.join(F.broadcast(is_hot), key).drop("is_hot")
+    joined = hot_rows.join(F.broadcast(hot_side), key, how)
+    rest = big.join(F.broadcast(hot), key, "left_anti").join(small.hint("merge"), key, how)
+    return joined.unionByName(rest)
 
 
 class FeatureNameClash(ValueError):
