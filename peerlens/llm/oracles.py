@@ -89,7 +89,14 @@ FROM scored QUALIFY rank <= 5
 
 
 def _license_scan() -> str:
-    spelled = r"regexp_replace(lower(text), '(?m)^[ \t]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$', '', 'g')"
+    # A statement that opens a line, up to the end of the sentence or line.
+    statement = (
+        r"^[ \t]*(?:copyright[ \t]*(?:\(c\)|©)|©|\(c\)[ \t]*[0-9]{4}|copyright[ \t]+[0-9]{4})"
+        r"(?: [a-z]\. [a-z]\.| [a-z]\. [^ \t\n.]{1,30}$| (?:inc|ltd|corp|co|llc)\.|\.[^ \t\n]|[^\n.]){0,80}"
+        r"(?:\.|$)(?:[ \t]*all rights reserved\.?)?"
+        r"|^[ \t]*all rights reserved\.?[ \t]*$"
+    )
+    spelled = f"regexp_replace(lower(text), '(?m){statement}', '', 'g')"
     # The spellings treated as equal.
     for variant, canonical in (
         ("licence", "license"),

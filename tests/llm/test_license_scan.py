@@ -46,3 +46,58 @@ def test_edges(spark, edge_docs, no_docs):
     twice = spark.createDataFrame([(1, "Released under the MIT License.")] * 2 + [(None, "Licensed under CC BY 4.0.")], "doc_id long, text string")
     got = sorted(((r.doc_id, r.text_license, r.line_licenses, r.n_license_lines) for r in s.license_scan(twice).collect()), key=str)
     assert got == [(1, "MIT", "MIT", 1), (1, "MIT", "MIT", 1), (None, "CC-BY-4.0", "CC-BY-4.0", 1)]
+
+
+def test_one_line_licences_and_prose_keep_their_text(spark):
+    flat = s.KNOWN["MIT"][-1].replace("\n", " ")
+    got = scanned(
+        spark,
+        [
+            "Copyright (c) 2020 X. " + flat,
+            "Copyright 2019-2021 Some Body Inc. All rights reserved. " + flat,
+            "Copyright law is a branch of law that protects authors.",
+            "(c) the licensee shall not sell copies",
+            "Copyright (c) 2020 X. Released under the MIT License.",
+            "Copyright (c) The Authors\n© 2020 A. B.\nAll rights reserved.",
+        ],
+    )
+    assert [got[i].text_license for i in range(6)] == ["MIT", "MIT", None, None, "MIT", None]
+    assert [got[i].text_digest is None for i in range(6)] == [False] * 5 + [True]
+    assert got[4].line_licenses == "MIT"
+
+
+def test_titles_and_wraps(spark):
+    texts = []
+    for licence, titles in s.TITLES.items():
+        words = s.KNOWN[licence][-1].split()
+        wrapped = "\n".join(" ".join(words[i : i + 9]) for i in range(0, len(words), 9))
+        texts += [f"{title}\n\nCopyright (c) 2021, Jane Q. Doe\n\n{wrapped}" for title in ["", *titles]]
+    got = scanned(spark, texts)
+    want = [licence for licence, titles in s.TITLES.items() for _ in ["", *titles]]
+    assert [got[i].text_license for i in range(len(texts))] == want
+
+
+def test_known_files(spark, tmp_path):
+    long = " ".join(f"word{i}" for i in range(5_000))
+    (tmp_path / "Long-1.0.txt").write_text(f"THE LONG LICENCE\n{long}\n")
+    (tmp_path / "Other").write_text("Other terms.")
+    got = scanned(spark, [f"The Long License. {long}", "other terms", long], s.known_files(spark, str(tmp_path)))
+    assert [got[i].text_license for i in range(3)] == ["Long-1.0", "Other", None]
+
+
+def test_repeated_ids_with_different_texts(spark):
+    docs = spark.createDataFrame([(1, "Licensed under CC BY 4.0."), (1, "Licensed under CC0 1.0."), (1, None)], "doc_id long, text string")
+    assert sorted(str(r.text_license) for r in s.license_scan(docs).collect()) == ["CC-BY-4.0", "CC0-1.0", "None"]
+
+
+def test_twin(spark, small):
+    import duckdb
+
+    from peerlens.llm.queries import ORACLES, QUERIES
+    from tools.check_oracles import compare
+
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+    df = QUERIES["op4_license_digests"](spark, small)
+    result = duck.execute(ORACLES["op4_license_digests"])
+    assert compare(df.columns, [tuple(r) for r in df.collect()], [c[0] for c in result.description], result.fetchall()) == "ok"
