@@ -105,7 +105,7 @@ TITLES = {
 # stays, and so does what follows on the same line.
 COPYRIGHT = (
     r"^[ \t]*(?:copyright[ \t]*(?:\(c\)|©)|©|\(c\)[ \t]*[0-9]{4}|copyright[ \t]+[0-9]{4})"
-    r"(?: [a-z]\. [a-z]\.| [a-z]\. [^ \t\n.]{1,30}$| (?:inc|ltd|corp|co|llc)\.|\.[^ \t\n]|[^\n.]){0,80}"
+    r"(?: [a-z]\. [a-z]\.| [a-z]\. [^ \t\n.]+$| (?:inc|ltd|corp|co|llc)\.|\.[^ \t\n]|[^\n.]){0,80}"
     r"(?:\.|$)(?:[ \t]*all rights reserved\.?)?"
     r"|^[ \t]*all rights reserved\.?[ \t]*$"
 )
