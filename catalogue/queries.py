@@ -11,7 +11,7 @@ from catalogue.views import CONDITIONS, MEASURES, PAYMENTS, table, view
 from peerlens.functions.columns import names_containing, pick_positions, quoted, rename_all
 from peerlens.functions.missing import not_in_keeping_null
 from peerlens.operators import apportion as ap
-from peerlens.operators import balls, clustering, neighbours, silhouette
+from peerlens.operators import balls, clustering, neighbours, refresh, silhouette
 from peerlens.operators.joins import chain_left, clashing_names, guarded_feature_join, left_lookup
 from peerlens.operators.layer import map_layer
 from peerlens.operators.reshape import wide_to_long
@@ -24,7 +24,7 @@ from peerlens.plans import organisations as orgs
 from peerlens.plans.jobs import CLUSTERS
 from peerlens.plans.names import DEPRIVATION, ETHNIC_GROUPS, INDICATORS, similarity_features
 from peerlens.sources.readers import read_csv, read_csv_all, read_csv_parts, read_snapshot, rows_of_layer, union_by_name
-from peerlens.sources.sinks import write_csv, write_snapshot
+from peerlens.sources.sinks import write_csv, write_snapshot, write_snapshots
 from peerlens.sources.staging import new_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,14 @@ def snapshot_refresh(spark, sf):
     return rounded(neighbours.nearest_from_pairs(read_snapshot(spark, path)))
 
 
+def snapshot_unit(spark, sf):
+    """Two saves of a unit; the second one's table is what a reader gets."""
+    folder = new_folder(spark, "unit")
+    write_snapshots({"organisations": parent_index(spark, sf)}, folder)
+    write_snapshots({"organisations": org_index(spark, sf), "parents": parent_index(spark, sf)}, folder)
+    return read_snapshot(spark, f"{folder}/organisations")
+
+
 def active_filter(spark, sf):
     return orgs.active_practices(view(spark, sf, "v_prac"))
 
@@ -320,6 +328,17 @@ def farthest_10_balls(spark, sf):
     return _by_balls(_feature_vectors(spark, sf, "v_feat_gap", FEATURES), 10, "farthest", ball_rows=64)
 
 
+def neighbours_refreshed(spark, sf):
+    """Lists of a table that lacks some rows, has some others and other values, brought up to date."""
+    now = stage(_feature_vectors(spark, sf, "v_feat_gap", FEATURES), "vectors")
+    turn = F.pmod(F.xxhash64("key"), F.lit(20))
+    other = F.when(turn == 1, F.transform("vec", lambda v: v + 1)).otherwise(F.col("vec")).alias("vec")
+    left_since = now.where(turn == 2).select(F.concat("key", F.lit("-")).alias("key"), "vec")
+    before = stage(now.where(turn != 0).select("key", other).unionByName(left_since), "vectors")
+    lists = stage(neighbours.with_rank(neighbours.nearest_and_farthest(before)), "lists")
+    return rounded(neighbours.placed(refresh.updated_lists(before, now, lists, 10).lists, 10))
+
+
 # --- clusters -----------------------------------------------------------------------------------------
 
 
@@ -442,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "extracts_union": extracts_union,
     "age_union": age_union,
     "snapshot_refresh": snapshot_refresh,
+    "snapshot_unit": snapshot_unit,
     "active_filter": active_filter,
     "prefix_filter_dq": prefix_filter_dq,
     "not_in_keep_null": not_in_keep_null,
@@ -477,6 +497,7 @@ QUERIES: dict[str, Query] = {
     "nearest_10_block": nearest_10_block,
     "nearest_10_balls": nearest_10_balls,
     "farthest_10_balls": farthest_10_balls,
+    "neighbours_refreshed": neighbours_refreshed,
     "neighbours_customer": neighbours_customer,
     "kmeans_assign_fixed": kmeans_assign_fixed,
     "kmeans_best_of": kmeans_best_of,

@@ -28,15 +28,27 @@ def _statistics(df: DataFrame, columns: Sequence[str]) -> Column:
     return df.agg(F.expr(f"named_struct('mean', array({means}), 'scale', array({scales}))").alias("s")).scalar()
 
 
-def standardise(df: DataFrame, keys: Sequence[str], columns: Sequence[str], missing_as_zero: bool = False) -> DataFrame:
+def statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row ``(s)``: the means and scales that ``standardise`` can be given later on."""
+    return df.sparkSession.range(1).select(_statistics(df, columns).alias("s"))
+
+
+def standardise(
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    missing_as_zero: bool = False,
+    stats: DataFrame | None = None,
+) -> DataFrame:
     """``(x - mean) / sd`` per column; missing stays missing, constants become missing.
 
     ``missing_as_zero`` is the clustering variant: missing inputs count as 0
     *before* the statistics are taken, and constants contribute 0 after.
+    ``stats`` is the stored row of an earlier table, whose scale is to be kept.
     """
     if missing_as_zero:
         df = df.selectExpr(*map(quoted, keys), *[f"coalesce(double({quoted(c)}), 0D) AS {quoted(c)}" for c in columns])
-    with_stats = df.withColumn(STATS, _statistics(df, columns))
+    with_stats = df.withColumn(STATS, _statistics(df, columns) if stats is None else stats.select("s").scalar())
     out = []
     for i, c in enumerate(columns):
         z = f"try_divide(double({quoted(c)}) - {STATS}.mean[{i}], {STATS}.scale[{i}])"

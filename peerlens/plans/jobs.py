@@ -11,16 +11,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerlens.operators import clustering, neighbours, silhouette
+from peerlens.operators import clustering, neighbours, refresh, silhouette
 from peerlens.operators.layer import map_layer
 from peerlens.operators.rollup import removal_report
-from peerlens.operators.standardise import as_vectors, standardise
+from peerlens.operators.standardise import as_vectors, standardise, statistics
 from peerlens.plans import index as index_plan
 from peerlens.plans.names import similarity_features
 from peerlens.plans.organisations import is_english
 from peerlens.sources.readers import read_snapshot
-from peerlens.sources.sinks import write_csv, write_snapshot
+from peerlens.sources.sinks import write_csv, write_snapshot, write_snapshots
 from peerlens.sources.staging import stage, staging_scope
+from peerlens.sources.units import is_stored
 
 LEVELS = ("practice", "pcn")
 # Clusters per level and neighbours kept.
@@ -35,11 +36,6 @@ def conditions_of(spark: SparkSession, out: str) -> list[str]:
     return [r.condition for r in sorted(rows, key=lambda r: r.place)]
 
 
-def _is_stored(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def build_index(spark: SparkSession, sources: index_plan.Sources, out: str) -> None:
     """Both index tables, as delimited text and as stored tables, and the removed-rows report."""
     report = removal_report(sources.registrations, is_english("lsoa11cd"))
@@ -52,10 +48,9 @@ def build_index(spark: SparkSession, sources: index_plan.Sources, out: str) -> N
             "practice": index_plan.practice_table(sources, sums),
             "pcn": index_plan.parent_table(sources, sums),
         }
-        for level, df in tables.items():
-            path = f"{out}/nn_data/{level}"
-            write_snapshot(df, path)
-            write_csv(read_snapshot(spark, path), f"{out}/{level}_level_nn_data")
+        write_snapshots(tables, f"{out}/nn_data")
+    for level in tables:
+        write_csv(read_snapshot(spark, f"{out}/nn_data/{level}"), f"{out}/{level}_level_nn_data")
 
 
 def _feature_table(spark: SparkSession, out: str, level: str) -> tuple[DataFrame, list[str]]:
@@ -68,16 +63,52 @@ def build_neighbours(spark: SparkSession, out: str, levels: Sequence[str] = LEVE
     """Nearest and farthest lists; the full pair table only if asked for, as it is quadratic.
 
     The lists never come from the pair table: they keep k rows per block pair
-    where the table has one per pair of organisations.
+    where the table has one per pair of organisations.  The vectors, the scale
+    of their features and the reverse index are saved with the lists, as one
+    unit, for ``update_neighbours``.
     """
-    for level in levels:
-        table, features = _feature_table(spark, out, level)
-        vectors = as_vectors(standardise(table, ["ORG_CODE"], features), "ORG_CODE", features)
-        with staging_scope(spark, "neighbours"):
+    pairs, unit = {}, {}
+    with staging_scope(spark, "neighbours"):
+        for level in levels:
+            table, features = _feature_table(spark, out, level)
+            scale = stage(statistics(table, features), "scale")
+            vectors = stage(as_vectors(standardise(table, ["ORG_CODE"], features, stats=scale), "ORG_CODE", features), "vectors")
             if with_pairs:
-                write_snapshot(neighbours.pairwise_distance(vectors), f"{out}/dist_data/{level}")
-            lists = neighbours.nearest_and_farthest(vectors, NEIGHBOURS)
-            write_snapshot(lists, f"{out}/dist_lists/{level}", ["list"])
+                pairs[level] = neighbours.pairwise_distance(vectors)
+            lists = stage(neighbours.nearest_and_farthest(vectors, NEIGHBOURS), "lists")
+            unit |= _neighbour_tables(level, lists, vectors, scale)
+        if pairs:
+            write_snapshots(pairs, f"{out}/dist_data", keep_others=True)
+        write_snapshots(unit, f"{out}/dist_lists", keep_others=True)
+
+
+def _neighbour_tables(level: str, lists: DataFrame, vectors: DataFrame, scale: DataFrame) -> dict[str, DataFrame]:
+    return {
+        level: lists,
+        f"{level}_vectors": vectors,
+        f"{level}_scale": scale,
+        f"{level}_listed_by": refresh.reverse_index(lists),
+    }
+
+
+def update_neighbours(spark: SparkSession, out: str, levels: Sequence[str] = LEVELS) -> dict[str, refresh.Refreshed]:
+    """The stored lists brought up to date with the stored index, at the scale of the last ``build_neighbours``.
+
+    Only lists that organisations which came, went or changed can touch are
+    worked on.  Says, for each level, how many lists were made anew and how many pairs compared.
+    """
+    done, unit = {}, {}
+    with staging_scope(spark, "neighbours"):
+        for level in levels:
+            table, features = _feature_table(spark, out, level)
+            scale, old, lists, listed_by = (
+                read_snapshot(spark, f"{out}/dist_lists/{level}{part}") for part in ("_scale", "_vectors", "", "_listed_by")
+            )
+            now = stage(as_vectors(standardise(table, ["ORG_CODE"], features, stats=scale), "ORG_CODE", features), "vectors")
+            done[level] = refresh.updated_lists(old, now, neighbours.with_rank(lists), NEIGHBOURS, reverse=listed_by)
+            unit |= _neighbour_tables(level, stage(neighbours.placed(done[level].lists, NEIGHBOURS), "placed"), now, scale)
+        write_snapshots(unit, f"{out}/dist_lists", keep_others=True)
+    return done
 
 
 def build_clusters(
@@ -117,7 +148,7 @@ def refresh_neighbours(spark: SparkSession, out: str, levels: Sequence[str] = LE
     They go to their own folder; what they are made from stays as it is.
     """
     for level in levels:
-        if _is_stored(spark, f"{out}/dist_data/{level}"):
+        if is_stored(spark, f"{out}/dist_data/{level}"):
             pairs = read_snapshot(spark, f"{out}/dist_data/{level}")
         else:
             lists = read_snapshot(spark, f"{out}/dist_lists/{level}")

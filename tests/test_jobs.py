@@ -246,3 +246,26 @@ def test_ragged_lines_fail_with_their_file(spark, tmp_path, line, header):
     for read in readers:
         with pytest.raises(Exception, match="ragged.csv"):
             read().collect()
+
+
+def test_lists_follow_the_index_without_a_rebuild(spark, built):
+    """Practices leave, come back and change: updated lists are those of all vectors at the old scale."""
+    from peerlens.operators.neighbours import nearest_and_farthest
+
+    out = f"{built}-updated"
+    index = read_snapshot(spark, f"{built}/nn_data/practice")
+    conditions = read_snapshot(spark, f"{built}/conditions")
+    write_snapshot(conditions, f"{out}/conditions")
+    gone = F.pmod(F.xxhash64("ORG_CODE"), F.lit(9)) == 0
+    write_snapshots({"practice": index.where(~gone)}, f"{out}/nn_data")
+    jobs.build_neighbours(spark, out, ["practice"])
+    number = next(c for c, t in index.dtypes if t == "double" and c in similarity_features(jobs.conditions_of(spark, out)))
+    moved = F.when(F.pmod(F.xxhash64("ORG_CODE"), F.lit(9)) == 1, F.col(number) * 2).otherwise(F.col(number))
+    left = F.pmod(F.xxhash64("ORG_CODE"), F.lit(9)) == 2
+    write_snapshots({"practice": index.where(~left).withColumn(number, moved)}, f"{out}/nn_data")
+    done = jobs.update_neighbours(spark, out, ["practice"])["practice"]
+    vectors = read_snapshot(spark, f"{out}/dist_lists/practice_vectors")
+    assert vectors.count() == index.where(~left).count() and done.redone > 0
+    want = as_set(rounded(nearest_and_farthest(vectors)))
+    assert as_set(rounded(read_snapshot(spark, f"{out}/dist_lists/practice"))) == want
+    assert jobs.update_neighbours(spark, out, ["practice"])["practice"].compared == 0
