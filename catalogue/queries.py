@@ -11,7 +11,7 @@ from catalogue.views import CONDITIONS, MEASURES, PAYMENTS, table, view
 from peerlens.functions.columns import names_containing, pick_positions, quoted, rename_all
 from peerlens.functions.missing import not_in_keeping_null
 from peerlens.operators import apportion as ap
-from peerlens.operators import balls, clustering, neighbours, refresh, silhouette
+from peerlens.operators import balls, clustering, neighbours, refresh, seeding, silhouette
 from peerlens.operators.joins import chain_left, clashing_names, guarded_feature_join, left_lookup
 from peerlens.operators.layer import map_layer
 from peerlens.operators.reshape import wide_to_long
@@ -357,6 +357,14 @@ def kmeans_best_of(spark, sf):
     return clustering.kmeans_best_of(_cluster_vectors(spark, sf), k=5).withColumnRenamed("key", "org_code")
 
 
+def kmeans_bounded(spark, sf):
+    """One start's iteration by bounds; the same start as the first of ``kmeans_best_of``."""
+    points = _cluster_vectors(spark, sf)
+    starts = clustering.hash_starts(clustering.distinct_points(points), [(5, 1)])[0]
+    fit = seeding.bounded_fit(points, starts).fit
+    return clustering.labelled_by(points, fit).withColumnRenamed("key", "org_code")
+
+
 def total_ss(spark, sf):
     return rounded(clustering.total_sum_of_squares(_cluster_vectors(spark, sf)))
 
@@ -501,6 +509,7 @@ QUERIES: dict[str, Query] = {
     "neighbours_customer": neighbours_customer,
     "kmeans_assign_fixed": kmeans_assign_fixed,
     "kmeans_best_of": kmeans_best_of,
+    "kmeans_bounded": kmeans_bounded,
     "total_ss": total_ss,
     "wss_sweep": wss_sweep,
     "silhouette_labels": silhouette_labels,

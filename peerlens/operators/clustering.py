@@ -46,7 +46,7 @@ def distinct_points(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy("vec").agg(F.count(F.lit(1)).cast("double").alias("copies"), F.min("key").alias("key"))
 
 
-def _starts(points: DataFrame, runs: Sequence[tuple[int, int]]) -> list[np.ndarray]:
+def hash_starts(points: DataFrame, runs: Sequence[tuple[int, int]]) -> list[np.ndarray]:
     """The starting centres of each ``(k, seed)``.
 
     The smallest hashes are found before vectors are fetched, and each task
@@ -69,7 +69,7 @@ def _starts(points: DataFrame, runs: Sequence[tuple[int, int]]) -> list[np.ndarr
     return [np.array(c, dtype=float) for c in found]
 
 
-def _chunks(vec: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
+def chunks(vec: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
     """Rows of an array column as matrices of bounded size, with their first row."""
     step = max(1, CELLS // max(1, width))
     for low in range(0, len(vec), step):
@@ -78,7 +78,7 @@ def _chunks(vec: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
         yield low, flat.reshape(len(part), -1)
 
 
-def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+def squared_distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances of rows to all centres, by one product."""
     d = (x**2).sum(axis=1)[:, None] + (centres**2).sum(axis=1)[None, :] - 2 * (x @ centres.T)
     return np.maximum(d, 0.0)
@@ -86,42 +86,58 @@ def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 def _nearest(x: np.ndarray, fits: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Number of the nearest centre of each fit, the lower on a tie, and the squared distance."""
-    d = _squared(x, np.concatenate(fits))
+    d = squared_distances(x, np.concatenate(fits))
     at = np.cumsum([0, *[len(c) for c in fits]])
     near = np.stack([d[:, a:b].argmin(axis=1) for a, b in zip(at[:-1], at[1:])], axis=1)
     return near, np.take_along_axis(d, near + at[:-1], axis=1)
 
 
+def added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Group function: one cluster's sums of all tasks, added one batch at a time."""
+    cluster, total = None, 0.0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cluster = batch.column("cluster")[:1]
+        flat = batch.column("sums").flatten().to_numpy()
+        total = total + flat.reshape(batch.num_rows, -1).sum(axis=0)
+    if cluster is not None:
+        sums = pa.ListArray.from_arrays(pa.array([0, len(total)], pa.int32()), pa.array(total))
+        yield pa.RecordBatch.from_arrays([cluster, sums], names=["cluster", "sums"])
+
+
 def _sums(points: DataFrame, fits: Sequence[np.ndarray]) -> dict[int, tuple]:
-    """For each cluster of each fit (numbered through): weight, cost, smallest key and summed vector."""
+    """For each cluster of each fit (numbered through): weight, cost and summed vector.
+
+    A task passes on one packed row a cluster, so the plan is the same and as
+    small for any number of features.
+    """
     width, dims = sum(map(len, fits)), fits[0].shape[1]
     offsets = np.cumsum([0, *[len(c) for c in fits]])[:-1]
-    columns = [f"s{j}" for j in range(dims)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, cost, total = np.zeros(width), np.zeros(width), np.zeros((width, dims))
+        total = np.zeros((width, 2 + dims))  # weight, cost, summed vector
         for batch in batches:
             copies = batch.column("copies").to_numpy()
-            for low, x in _chunks(batch.column("vec"), width):
+            for low, x in chunks(batch.column("vec"), width):
                 own = copies[low : low + len(x)]
                 near, squared = _nearest(x, fits)
                 for f, offset in enumerate(offsets):
                     to = near[:, f] + offset
-                    weight += np.bincount(to, own, minlength=width)
-                    cost += np.bincount(to, own * squared[:, f], minlength=width)
+                    total[:, 0] += np.bincount(to, own, minlength=width)
+                    total[:, 1] += np.bincount(to, own * squared[:, f], minlength=width)
                     member = np.zeros((len(x), len(fits[f])))
                     member[np.arange(len(x)), near[:, f]] = own
-                    total[offset : offset + len(fits[f])] += member.T @ x
-        used = np.flatnonzero(weight)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used), pa.array(weight[used]), pa.array(cost[used]), *[pa.array(c) for c in total[used].T]],
-            names=["cluster", "weight", "cost", *columns],
-        )
-
-    schema = "cluster long, " + ", ".join(f"{c} double" for c in ["weight", "cost", *columns])
+                    total[offset : offset + len(fits[f]), 2:] += member.T @ x
+        used = np.flatnonzero(total[:, 0])
+        bounds = pa.array(np.arange(0, len(used) * (2 + dims) + 1, 2 + dims), pa.int32())
+        sums = pa.ListArray.from_arrays(bounds, pa.array(total[used].ravel()))
+        yield pa.RecordBatch.from_arrays([pa.array(used), sums], names=["cluster", "sums"])
+
+    schema = "cluster long, sums array<double>"
     partial = points.select("vec", "copies").mapInArrow(run, schema)
-    summed = partial.groupBy("cluster").agg(*[F.sum(c).alias(c) for c in ["weight", "cost", *columns]])
-    return {r[0]: (r[1], r[2], np.array(r[3:])) for r in summed.collect()}
+    summed = partial.groupBy("cluster").applyInArrow(added_up, schema)
+    return {r.cluster: (r.sums[0], r.sums[1], np.array(r.sums[2:])) for r in summed.collect()}
 
 
 def fit_all(vectors: DataFrame, runs: Sequence[tuple[int, int]], max_iter: int = 20) -> list[Fit]:
@@ -131,7 +147,7 @@ def fit_all(vectors: DataFrame, runs: Sequence[tuple[int, int]], max_iter: int =
     """
     points = distinct_points(vectors).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        centres = _starts(points, runs)
+        centres = hash_starts(points, runs)
         moving = list(range(len(runs)))
         for _ in range(max_iter):
             sums = _sums(points, [centres[i] for i in moving])
@@ -191,7 +207,7 @@ def assign_to_centroids(vectors: DataFrame, centroids: Sequence[Sequence[float]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, x in _chunks(batch.column("vec"), len(fits[0])):
+            for low, x in chunks(batch.column("vec"), len(fits[0])):
                 near, squared = _nearest(x, fits)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key").slice(low, len(x)), pa.array(near[:, 0].astype(np.int32)), pa.array(squared[:, 0])],
@@ -240,7 +256,7 @@ def labels_of_fits(vectors: DataFrame, fits: Sequence[Fit]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, x in _chunks(batch.column("vec"), width):
+            for low, x in chunks(batch.column("vec"), width):
                 near = _nearest(x, centres)[0].astype(np.int32)
                 bounds = pa.array(np.arange(0, near.size + 1, near.shape[1]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
