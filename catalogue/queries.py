@@ -23,6 +23,7 @@ from peerlens.plans import org_features as org
 from peerlens.plans import organisations as orgs
 from peerlens.plans.jobs import CLUSTERS
 from peerlens.plans.names import DEPRIVATION, ETHNIC_GROUPS, INDICATORS, similarity_features
+from peerlens.sources.quarantine import read_csv_checked
 from peerlens.sources.readers import read_csv, read_csv_all, read_csv_parts, read_snapshot, rows_of_layer, union_by_name
 from peerlens.sources.sinks import write_csv, write_snapshot, write_snapshots
 from peerlens.sources.staging import new_folder, stage
@@ -76,6 +77,23 @@ def _extracts(spark, sf) -> list[str]:
     return [f"{home}/line={n}" for n in range(1, 8)]
 
 
+def csv_quarantine(spark, sf):
+    """Suppliers as text, some lines short, long or mistyped: sums of the good rows, and bad lines by reason."""
+    key, text = F.col("s_suppkey"), "concat_ws(',', s_suppkey, {}, s_acctbal)"
+    line = (
+        F.when(key % 17 == 3, F.expr("concat_ws(',', s_suppkey, s_acctbal)"))
+        .when(key % 19 == 4, F.expr(text.format("'a name', 'more'")))
+        .when(key % 23 == 5, F.expr("concat_ws(',', s_suppkey, 'a name', 'unknown')"))
+        .otherwise(F.expr(text.format("""'"a, name"'""")))
+    )
+    path = new_folder(spark, "suppliers")
+    table(spark, sf, "supplier").select(line).write.text(path)
+    found = read_csv_checked(spark, path, [(1, "org_key", "bigint"), (3, "balance", "double")], header=False, most_bad=0.5)
+    good = found.rows.agg(F.count(F.lit(1)).alias("n"), F.sum("balance").alias("balance")).withColumn("reason", F.lit("ok"))
+    bad = found.bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).withColumn("balance", F.lit(None).cast("double"))
+    return rounded(good.unionByName(bad), 2)
+
+
 def multi_file_union(spark, sf):
     parts = [read_csv_all(spark, path) for path in _extracts(spark, sf)]
     united = union_by_name(parts)
@@ -465,6 +483,7 @@ def index_clusters_parent(spark, sf):
 QUERIES: dict[str, Query] = {
     "scan_project_rename": scan_project_rename,
     "csv_roundtrip": csv_roundtrip,
+    "csv_quarantine": csv_quarantine,
     "multi_file_union": multi_file_union,
     "extracts_union": extracts_union,
     "age_union": age_union,
