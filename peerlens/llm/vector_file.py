@@ -32,8 +32,8 @@ from peerlens.llm.store import stored
 
 CELLS = 256
 READ = 64
-ROWS = "vec_id long, dims int, cells binary, low double, step double, vector binary"
-HITS = "query_id long, vec_id long, score long"
+ROWS = "uid long, vec_id long, dims int, cells binary, low double, step double, vector binary"
+HITS = "asker long, query_id long, vec_id long, score long"
 LIMIT = float(1 << 53)
 
 
@@ -41,7 +41,8 @@ def approximations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Map function: the vector file's rows; vectors that take no part are left out."""
     for batch in batches:
         rows: list[tuple] = []
-        for vec_id, vector in zip(batch.column("vec_id").to_pylist(), batch.column("vector")):
+        ids = batch.column("uid").to_pylist(), batch.column("vec_id").to_pylist()
+        for uid, vec_id, vector in zip(*ids, batch.column("vector")):
             if vec_id is None or not vector.is_valid or vector.values.null_count:
                 continue
             x = vector.values.to_numpy(zero_copy_only=False).astype(np.float64)
@@ -53,9 +54,9 @@ def approximations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             low = float(whole.min()) if len(x) else 0.0
             step = max(1.0, np.ceil((float(whole.max()) - low + 1) / CELLS)) if len(x) else 1.0
             cells = ((whole - low) // step).astype(np.uint8)
-            rows.append((vec_id, len(x), cells.tobytes(), low, float(step), whole.astype("<i8").tobytes()))
+            rows.append((uid, vec_id, len(x), cells.tobytes(), low, float(step), whole.astype("<i8").tobytes()))
         names = [c.split()[0] for c in ROWS.split(", ")]
-        types = [pa.int64(), pa.int32(), pa.binary(), pa.float64(), pa.float64(), pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.float64(), pa.float64(), pa.binary()]
         columns = list(zip(*rows)) or [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
@@ -72,18 +73,19 @@ def _kth(values: np.ndarray, k: int) -> np.ndarray:
     return np.partition(values, values.shape[1] - k, axis=1)[:, values.shape[1] - k]
 
 
-def search(queries: tuple, candidates: tuple, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(query id, candidate ids, scores)`` of each query's best k in one block.
+def search(queries: tuple, candidates: tuple, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(query's row, its id, candidate ids, scores)`` of each query's best k in one block.
 
-    Both sides are ``(ids, exact, lower edges, upper edges)``; candidates lie in
-    the order of their ids.
+    Queries are ``(rows, ids, exact)``, candidates ``(rows, ids, exact, lower
+    edges, upper edges)`` in the order of their ids.  Rows, not ids, tell a query
+    from the candidates.
     """
-    q_ids, q = queries
-    c_ids, exact, lower, upper = candidates
+    q_rows, q_ids, q = queries
+    c_rows, c_ids, exact, lower, upper = candidates
     plus, minus = np.maximum(q, 0).astype(np.float64), np.minimum(q, 0).astype(np.float64)
     at_most = plus @ upper.T + minus @ lower.T
     at_least = plus @ lower.T + minus @ upper.T
-    own = q_ids[:, None] == c_ids[None, :]
+    own = q_rows[:, None] == c_rows[None, :]
     at_most[own] = at_least[own] = -np.inf
     # Bounds are sums of whole numbers: exact below 2^53, else widened by what rounding can take.
     size = float(np.abs(q).max(initial=0)) * float(np.abs(upper).max(initial=0) + np.abs(lower).max(initial=0)) * max(1, q.shape[1])
@@ -106,7 +108,7 @@ def search(queries: tuple, candidates: tuple, k: int) -> Iterator[tuple[int, np.
             ids, scores = np.concatenate([ids, c_ids[read]]), np.concatenate([scores, products])
             best = np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k], np.int64)
             ids, scores = ids[best], scores[best]
-        yield int(q_ids[row]), ids, scores
+        yield int(q_rows[row]), int(q_ids[row]), ids, scores
 
 
 def search_blocks(k: int):
@@ -114,8 +116,8 @@ def search_blocks(k: int):
 
     def run(table: pa.Table) -> pa.Table:
         asks = table.column("asks").to_numpy(zero_copy_only=False).astype(bool)
-        ids, dims = table.column("vec_id").to_numpy(), table.column("dims").to_numpy()
-        out: list[tuple[int, np.ndarray, np.ndarray]] = []
+        rows, ids, dims = (table.column(c).to_numpy() for c in ("uid", "vec_id", "dims"))
+        out: list[tuple[int, int, np.ndarray, np.ndarray]] = []
         for d in np.unique(dims[asks]):
             mine, theirs = asks & (dims == d), ~asks & (dims == d)
             if not theirs.any():
@@ -126,13 +128,15 @@ def search_blocks(k: int):
             step = table.column("step").to_numpy()[theirs][:, None]
             lower = table.column("low").to_numpy()[theirs][:, None] + cells * step
             q = _matrix(table.column("vector"), mine, "<i8").reshape(int(mine.sum()), d)
-            block = (ids[theirs][order], exact[order], lower[order], (lower + step - 1)[order])
-            out += search((ids[mine], q), block, k)
+            block = (rows[theirs][order], ids[theirs][order], exact[order], lower[order], (lower + step - 1)[order])
+            out += search((rows[mine], ids[mine], q), block, k)
+        counts = [len(o[2]) for o in out]
         return pa.table(
             {
-                "query_id": pa.array(np.repeat([o[0] for o in out], [len(o[1]) for o in out]), pa.int64()),
-                "vec_id": pa.array(np.concatenate([o[1] for o in out]) if out else [], pa.int64()),
-                "score": pa.array([int(s) for o in out for s in o[2]], pa.int64()),
+                "asker": pa.array(np.repeat([o[0] for o in out], counts), pa.int64()),
+                "query_id": pa.array(np.repeat([o[1] for o in out], counts), pa.int64()),
+                "vec_id": pa.array(np.concatenate([o[2] for o in out]) if out else [], pa.int64()),
+                "score": pa.array([int(s) for o in out for s in o[3]], pa.int64()),
             }
         )
 
@@ -151,25 +155,22 @@ def top_k(
 
     ``vectors`` has ``vec_id`` and an array column.  Rows with a null id, a null
     vector or a null or non-finite component take no part; vectors meet only
-    vectors of the same length.  An id stands for one vector: of rows that
-    repeat an id, the one with the smallest vector takes part.
+    vectors of the same length.  Every row stands for itself: of rows that repeat
+    an id, each is a candidate for all others and each is asked for its own k.
     """
     given = vectors.select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("vector")
-    )
-    file = given.mapInArrow(approximations, ROWS)
-    file = stored(
-        file.groupBy("vec_id")
-        .agg(F.min(F.struct("vector", "dims", "cells", "low", "step")).alias("v"))
-        .select("vec_id", "v.dims", "v.cells", "v.low", "v.step", "v.vector"),
-        "vector-file",
+        F.monotonically_increasing_id().alias("uid"),
+        F.col("vec_id").cast("long").alias("vec_id"),
+        F.col(column).cast("array<double>").alias("vector"),
     )
+    # Stored with its number, by which a row is known from here on.
+    file = stored(given.mapInArrow(approximations, ROWS), "vector-file")
     queries = file.where(is_query)
     rows, asked = file.count(), queries.count()
     blocks = max(1, -(-rows // block_rows))
     query_blocks = max(1, -(-asked // query_rows))
-    # Bit-mixed ids deal blocks evenly; each candidate goes to every query block and each query to every block.
-    deal = F.xxhash64("vec_id")
+    # Bit-mixed numbers deal blocks evenly, copies of an id too; each candidate goes to every query block and each query to every block.
+    deal = F.xxhash64("uid")
     held = file.select("*", F.pmod(deal, F.lit(blocks)).alias("block"), F.lit(False).alias("asks")).withColumn(
         "query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
     )
@@ -180,7 +181,7 @@ def top_k(
         .groupBy("block", "query_block")
         .applyInArrow(search_blocks(k), HITS)
     )
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("asker").orderBy(F.col("score").desc(), "vec_id")
     return (
         hits.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)

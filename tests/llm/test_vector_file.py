@@ -7,17 +7,17 @@ from peerlens.llm.vector_file import top_k
 
 
 def plain(rows, asks, k):
-    vectors = {}
-    for key, v in rows:
-        if key is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        whole = [math.floor(256 * x) for x in v]
-        vectors[key] = min(vectors.get(key, whole), whole)
+    vectors = [
+        (key, [math.floor(256 * x) for x in v])
+        for key, v in rows
+        if key is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
     out = []
-    for q, a in vectors.items():
+    for i, (q, a) in enumerate(vectors):
         if asks(q):
-            scored = [(-sum(x * y for x, y in zip(a, b)), c) for c, b in vectors.items() if c != q and len(b) == len(a)]
-            out += [(q, rank, c, -s) for rank, (s, c) in enumerate(sorted(scored)[:k], 1)]
+            others = [(c, b) for j, (c, b) in enumerate(vectors) if j != i and len(b) == len(a)]
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), c) for c, b in others)
+            out += [(q, rank, c, -s) for rank, (s, c) in enumerate(scored[:k], 1)]
     return sorted(out)
 
 
@@ -56,9 +56,26 @@ def test_products_beyond_double_precision_are_exact(spark):
     assert found(top_k(frame(spark, rows), "vec_id % 3 = 0", 5)) == plain(rows, lambda q: q % 3 == 0, 5)
 
 
-def test_repeated_rows_are_one_vector(spark):
-    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.5]), (3, [1.0, 1.0])]
-    assert found(top_k(frame(spark, rows), "vec_id = 1", 5)) == plain(rows, lambda q: q == 1, 5)
+def test_rows_that_repeat_an_id_stand_for_themselves(spark):
+    rows = [(50, [1.0, 0.0]), (1, [1.0, 1.0]), (1, [5.0, 1.0]), (50, [2.0, 0.0]), (2, [0.5, 0.5]), (1, [5.0, 1.0])]
+    got = found(top_k(frame(spark, rows), "vec_id = 50", 5))
+    assert got == plain(rows, lambda q: q == 50, 5)
+    assert (50, 1, 1, 5 * 256 * 256) in got and len(got) == 10
+    hot = [(50 + i % 3 // 2 * i, [float(i % 7), 1.0]) for i in range(600)]  # two thirds of the rows have one id
+    assert found(top_k(frame(spark, hot), "vec_id = 100", 5, block_rows=50)) == plain(hot, lambda q: q == 100, 5)
+
+
+def test_twin_on_repeated_ids(spark):
+    import duckdb
+    import pandas as pd
+
+    from peerlens.llm.queries import ORACLES
+
+    rows = [(i % 70, [float(i % 5), float(i % 11), -1.0]) for i in range(150)]
+    embeddings = pd.DataFrame(rows, columns=["vec_id", "embedding"])  # read by the twin
+    assert len(embeddings) == 150
+    twin = duckdb.sql(ORACLES["op8_vector_file_search"]).fetchall()
+    assert found(top_k(frame(spark, rows), "vec_id % 50 = 0", 5)) == sorted(twin)
 
 
 def test_float_column(spark, small):
