@@ -398,23 +398,19 @@ def ngram_groups(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFram
 
 
 def one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; the columns stay.
+    """One row of ``docs`` of each component, that with the smallest id; the columns stay.
 
-    Rows without an id or without words are in no group and stay.  Of rows that
-    repeat an id the first by text stays.
+    Rows without an id or without words are in no group and stay.  Rows that
+    repeat an id are told apart: each goes or stays by its own text.
     """
-    grouped = stored(ngram_groups(docs, words, percent), "groups")
-    # Stored, so that Spark knows their sizes and shuffles the texts only if they are large.
-    gone = stored(grouped.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    rows = grouped.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    again = stored(rows.where("rows > 1").select(F.col("doc_id").alias("again")), "again")
-    kept = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    number = "__row_of_id"
-    repeated = (
-        kept.join(again, F.col("doc_id") == F.col("again"), "left_semi")
-        .withColumn(number, F.row_number().over(first))
-        .where(F.col(number) == 1)
-        .drop(number)
-    )
-    return kept.join(again, F.col("doc_id") == F.col("again"), "left_anti").unionByName(repeated)
+    number = "__row_number"
+    # Stored with their numbers, which stand for the ids from here on.
+    rows = stored(docs.withColumn(number, F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "rows")
+    numbered = rows.select(F.col(number).alias("doc_id"), "text")
+    grouped = stored(ngram_groups(numbered, words, percent), "groups").where("n_shingles > 0 AND doc_id IS NOT NULL")
+    ids = rows.select(F.col(number).alias("doc_id"), F.col("doc_id").cast("long").alias("id"))
+    members = grouped.select("doc_id", "component_id").join(ids, "doc_id")
+    stays = members.groupBy("component_id").agg(F.min(F.struct("id", "doc_id")).alias("first")).select("first.doc_id")
+    # Stored, so that Spark knows its size and shuffles the texts only if it is large.
+    gone = stored(members.select("doc_id").join(stays, "doc_id", "left_anti").select(F.col("doc_id").alias("gone")), "gone")
+    return rows.join(gone, F.col(number) == F.col("gone"), "left_anti").drop(number)

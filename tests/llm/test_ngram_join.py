@@ -104,3 +104,13 @@ def test_components_of_paths_stars_and_self_edges(spark):
     rng.shuffle(edges)
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {i: 0 for i in range(61)} | {500 + i: 500 for i in range(80)}
+
+
+def test_rows_that_repeat_an_id_go_by_their_own_text(spark):
+    a, b = ("alpha beta gamma delta epsilon zeta", "one two three four five six seven")
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, b + " eight"), (None, a), (9, ""), (9, None)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, place int").repartition(3)
+    kept = one_of_each_group(docs)
+    assert kept.columns == ["doc_id", "text", "place"]
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, a), (5, b), (None, a), (9, ""), (9, None)], key=str)
