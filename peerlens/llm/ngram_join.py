@@ -191,7 +191,7 @@ def _to_smallest(lists: np.ndarray, families: np.ndarray) -> tuple[np.ndarray, n
     return lists[fresh], families[fresh], links
 
 
-def join_within_batch(buckets: int):
+def join_within_batch(buckets: int, percent: int):
     """Map function: prefix lists of each batch, one entry a list, and the links already made."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +199,7 @@ def join_within_batch(buckets: int):
             prefix = batch.column("prefix").to_numpy().astype(np.int64)
             tokens = unpack48(b"".join(t[: 6 * p] for t, p in zip(batch.column("tokens").to_pylist(), prefix)))
             n = batch.column("n").to_numpy()
-            band = np.floor(np.log(n) / math.log(4 / 3) + 1e-9).astype(np.int64)
+            band = np.floor(np.log(n) / math.log(max(100 / percent, 1.01)) + 1e-9).astype(np.int64)
             family = np.repeat(batch.column("family").to_numpy(), prefix)
             lists = np.concatenate(
                 [mix(tokens + (np.repeat(band + k, prefix).astype(U64) << U64(48))) for k in (0, 1)]
@@ -300,7 +300,7 @@ def verify(percent: int):
     return run
 
 
-def _blocks(members: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, percent: int) -> DataFrame:
     """Members with their block and the pairs of blocks they take part in."""
     sizes = members.groupBy("comp", "n").agg(F.count(F.lit(1)).alias("rows"))
     up = Window.partitionBy("comp").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -317,7 +317,7 @@ def _blocks(members: DataFrame) -> DataFrame:
     )
     left = blocks.select("comp", F.col("block").alias("i"), F.col("high").alias("i_high"))
     right = blocks.select("comp", F.col("block").alias("j"), F.col("low").alias("j_low"))
-    pairs = left.join(right, "comp").where("j >= i AND 100 * i_high >= 75 * j_low")
+    pairs = left.join(right, "comp").where(f"j >= i AND 100 * i_high >= {percent} * j_low")
     takes = pairs.select("comp", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
     placed = members.join(ranges, ["comp", "n"]).withColumn(
         "block", F.expr("first + pmod(xxhash64(cid), last - first + 1)")
@@ -349,7 +349,7 @@ def ngram_groups(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFram
     shared = dealt.groupBy("bucket").applyInArrow(lean(count_tokens), exchange.SCHEMA)
     sets = stored(shared.groupBy("batch").applyInArrow(lean(find_prefixes(percent)), SETS), "sets")
 
-    lists = sets.select("n", "prefix", "family", "tokens").mapInArrow(join_within_batch(buckets), JOINS)
+    lists = sets.select("n", "prefix", "family", "tokens").mapInArrow(join_within_batch(buckets, percent), JOINS)
     links = lists.groupBy("bucket").applyInArrow(lean(join_lists), "a long, b long")
     candidates = components(links).withColumnRenamed("node", "family").withColumnRenamed("component", "comp")
     # A class comes once from each batch that has a copy; all its rows are the same.
@@ -363,7 +363,7 @@ def ngram_groups(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFram
         .select(F.coalesce("comp", "family").alias("comp"), "cid", "copies", "n", "tokens")
     )
     members = stored(members, "members")
-    tasks = _blocks(members).withColumn("task", F.expr(f"pmod(xxhash64(comp, i, j), {4 * buckets})"))
+    tasks = _blocks(members, percent).withColumn("task", F.expr(f"pmod(xxhash64(comp, i, j), {4 * buckets})"))
     verified = stored(
         tasks.select("task", "comp", "i", "j", "block", "cid", "copies", "n", "tokens")
         .groupBy("task")

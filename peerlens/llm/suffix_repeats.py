@@ -315,8 +315,8 @@ def repeated_passages(docs: DataFrame, length: int = 50) -> DataFrame:
     Words count from 0, ``end_word`` is the first one after the span.  Each row
     is looked at by itself, also if it shares its id.
     """
-    if length <= ANCHOR or length - ANCHOR > 255:
-        raise ValueError(f"passages are longer than {ANCHOR} words, by 255 at most")
+    if length <= ANCHOR or length - ANCHOR > 254:  # a suffix's runs are counted in a byte
+        raise ValueError(f"passages are longer than {ANCHOR} words, by 254 at most")
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()

@@ -114,3 +114,14 @@ def test_rows_that_repeat_an_id_go_by_their_own_text(spark):
     assert kept.columns == ["doc_id", "text", "place"]
     got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
     assert got == sorted([(1, a), (5, b), (None, a), (9, ""), (9, None)], key=str)
+
+
+@pytest.mark.parametrize("percent", [30, 50, 90, 100])
+def test_other_shares_than_the_usual_one(spark, monkeypatch, percent):
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    rng = random.Random(percent)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(base[: 200 - 6 * i])) for i in range(30)]  # 196 and 106 shingles sharing 106 among them
+    rows += [(100 + k, t) for k, t in near_copies(rng, 3, 5, 40)] + [(300, " ".join(base[:110]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(ngram_groups(docs, percent=percent)) == plain(rows, percent=percent)

@@ -75,3 +75,14 @@ def test_edges(spark, edge_docs, no_docs):
     assert found(s.repeated_passages(twice)) == [(None, 0, 60), (None, 0, 60)]
     with pytest.raises(ValueError):
         s.repeated_passages(edge_docs, length=20)
+
+
+def test_longest_length_that_a_byte_of_runs_allows(spark):
+    rng = random.Random(9)
+    top = s.ANCHOR + 254
+    shared = sentence(rng, top + 5, 5000)
+    rows = [(i, f"{sentence(rng, 20, 5000)} {shared} {sentence(rng, 9, 5000)}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert found(s.repeated_passages(docs, top)) == plain(rows, top)
+    with pytest.raises(ValueError, match="254"):
+        s.repeated_passages(docs, top + 1)

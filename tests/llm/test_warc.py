@@ -1,5 +1,9 @@
 import base64
+import gzip
 import hashlib
+import random
+import time
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -72,3 +76,73 @@ def test_every_page_has_its_two_records(spark, small):
     made = warc.described(warc.derive(warc.responses(pages)))
     assert made.count() == 2 * pages.count()
     assert made.join(sources, "page_id").where("refers_to <> s OR refers_to IS NULL").count() == 0
+
+
+def _record(block, **fields):
+    return warc.serialise([("WARC-Type", "response"), ("WARC-Record-ID", "<a>"), *fields.items()], block)
+
+
+def _text(block):
+    made = warc.derivatives(_record(block))
+    return warc.parse(made[1])[1].decode() if made else None
+
+
+def test_no_record_ends_the_job(spark):
+    head = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset={}\r\n\r\n<title>a+2AA-\\ud800</title><p>x"
+    records = [_record(head.format(c).encode()) for c in ("idna", "undefined", "punycode", "utf-7", "unicode_escape", "hex", "ſ", "utf_16_be")]
+    digits = ("²", "9" * 5000, "-1", "1_0", "٣")
+    broken = [_record(b"12345").replace(b"Content-Length: 5", f"Content-Length: {d}".encode()) for d in digits]
+    broken.append(warc.serialise([("WARC-Type", "response")], b"no record id to refer to"))
+    references = _record(("<p>&#" + "9" * 5000 + ";&#" + "0" * 5000 + "65;&#xD800;").encode())
+    table = spark.createDataFrame(list(enumerate([*records, references, *broken])), "page_id long, record binary")
+    assert warc.derive(table).count() == 2 * (len(records) + 1)
+    assert warc.unreadable(table).first()[0] == len(broken)
+    assert warc.parse(warc.derivatives(references)[1])[1].decode() == "�A�"
+
+
+def test_packed_and_chunked_bodies():
+    page = b"<p>" + b"word " * 1000
+    raw = zlib.compressobj(wbits=-15)
+    chunks = b"".join(b"%x;x=y\r\n%s\r\n" % (len(page[i : i + 999]), page[i : i + 999]) for i in range(0, len(page), 999)) + b"0\r\n\r\n"
+    want = ("word " * 1000).strip()
+    for field, body in (
+        (b"Content-Encoding: gzip", gzip.compress(page)),
+        (b"Content-Encoding: gzip", gzip.compress(page[:50]) + gzip.compress(page[50:])),
+        (b"Content-Encoding: gzip", page),  # undone by the crawler, which left the field
+        (b"Content-Encoding: deflate", zlib.compress(page)),
+        (b"Content-Encoding: deflate", raw.compress(page) + raw.flush()),
+        (b"Content-Encoding: identity", page),
+        (b"Transfer-Encoding: chunked", chunks),
+        (b"Transfer-Encoding: chunked", page),
+        (b"Content-Encoding: deflate, gzip", gzip.compress(zlib.compress(page))),
+    ):
+        assert _text(b"HTTP/1.1 200 OK\r\n" + field + b"\r\n\r\n" + body) == want
+    for field, body in ((b"br", b"\x8b\x02"), (b"gzip", gzip.compress(page)[:-20]), (b"deflate", b"\xff\xff\xff")):
+        assert _text(b"HTTP/1.1 200 OK\r\nContent-Encoding: " + field + b"\r\n\r\n" + body) is None
+
+
+def test_marks_that_are_never_closed_take_linear_time():
+    start = time.perf_counter()
+    for mark in ("<script>", "<script ", "<!--", "<a ", "<a href=", '<a href="', "<title>", "<title ", "<b", "<style></script>", "&#1", "<a href='>"):
+        page = mark * (1_000_000 // len(mark))
+        warc.plain_text(page), warc.title_of(page), warc.links_of(page)
+    _record(b"HTTP/1.1 200 OK\r\nA: b" + b"\r\n c" * 300_000 + b"\r\n\r\n")
+    assert time.perf_counter() - start < 12 * 2
+
+
+def test_random_pages_against_a_second_version():
+    """The second version is a parser of its own that is told each piece's meaning as the page is made."""
+    pieces = [
+        ("word ", "word "), ("<b>", ""), ("</b>", ""), ("<p class='x'>", "\n"), ("</DIV >", "\n"), ("<br/>", "\n"), ("&amp;", "&"), ("&lt;p&gt;", "<p>"),
+        ("<script>var a='<p>x</p>';</Script >", " "), ("<!-- <p> - -- x -->", " "), ("<style\n>p{}</style>", " "), ("é　", "é　"),
+        ("<head><title>t</title></head>", " "), ("<a href=\"u?a=1&amp;b='2\">", ""), ("<A x HREF = 'v\"w'>", ""), ("<a href=plain>", ""), ("\n", "\n"),
+    ]
+    links = {13: "u?a=1&b='2", 14: 'v"w', 15: "plain"}
+    rng = random.Random(3)
+    for _ in range(300):
+        made = [rng.randrange(len(pieces)) for _ in range(rng.randrange(40))]
+        page = "".join(pieces[i][0] for i in made)
+        lines = [" ".join(line.split()) for line in "".join(pieces[i][1] for i in made).split("\n")]
+        assert warc.plain_text(page) == "\n".join(line for line in lines if line)
+        assert warc.links_of(page) == [links[i] for i in made if i in links]
+        assert warc.title_of(page) == ("t" if 12 in made else None)
