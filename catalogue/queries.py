@@ -15,6 +15,7 @@ from peerlens.operators import balls, clustering, neighbours, refresh, seeding,
 from peerlens.operators.joins import chain_left, clashing_names, guarded_feature_join, left_lookup
 from peerlens.operators.layer import map_layer
 from peerlens.operators.reshape import wide_to_long
+from peerlens.operators.quantiles import weighted_quantiles_by_rank
 from peerlens.operators.rollup import grouped_sums, removal_report
 from peerlens.operators.standardise import as_vectors, standardise
 from peerlens.plans import geo_features as geo
@@ -23,10 +24,13 @@ from peerlens.plans import org_features as org
 from peerlens.plans import organisations as orgs
 from peerlens.plans.jobs import CLUSTERS
 from peerlens.plans.names import DEPRIVATION, ETHNIC_GROUPS, INDICATORS, similarity_features
+from peerlens.sources.attributes import write_attributes
+from peerlens.sources.inputs import FIELDS, FIRST_INDICATOR, read_areas, read_fields, read_indicators
 from peerlens.sources.quarantine import read_csv_checked
 from peerlens.sources.readers import read_csv, read_csv_all, read_csv_parts, read_snapshot, rows_of_layer, union_by_name
 from peerlens.sources.sinks import write_csv, write_snapshot, write_snapshots
 from peerlens.sources.staging import new_folder, stage
+from peerlens.sources.workbooks import Sheet, write_workbooks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -201,12 +205,52 @@ def _indicators(spark, sf) -> dict[str, DataFrame]:
     return {name: view(spark, sf, f"v_dep_{name}") for name in INDICATORS}
 
 
-def multi_left_join_unpivot(spark, sf):
+def _joined_indicators(spark, sf, tables: dict[str, DataFrame]) -> DataFrame:
     areas = view(spark, sf, "v_score").select("lsoa11cd")
-    wide = chain_left(areas, [geo.zero_filled(t) for t in _indicators(spark, sf).values()], "lsoa11cd")
+    wide = chain_left(areas, [geo.zero_filled(t) for t in tables.values()], "lsoa11cd")
     return rounded(wide_to_long(wide, ["lsoa11cd"]))
 
 
+def multi_left_join_unpivot(spark, sf):
+    return _joined_indicators(spark, sf, _indicators(spark, sf))
+
+
+def _at_positions(df: DataFrame, fields: Sequence[tuple[int, str, str]]) -> DataFrame:
+    """Named columns at their 1-based positions, empty ones between them."""
+    spots = {p: n for p, n, _ in fields}
+    empty = F.lit(None).cast("string")
+    return df.select(*[F.col(spots[p]) if p in spots else empty.alias(f"c{p}") for p in range(1, max(spots) + 1)])
+
+
+def indicator_sheets(spark, sf):
+    """The six indicator tables as sheets of workbooks, read back by position and joined."""
+    path, tables = new_folder(spark, "indicators"), {}
+    for name, df in _indicators(spark, sf).items():
+        measures = [(FIRST_INDICATOR + i, m, "double") for i, m in enumerate(INDICATORS[name])]
+        tables[name] = _at_positions(df, [(1, "lsoa11cd", "string"), *measures])
+    write_workbooks(tables, path)
+    return _joined_indicators(spark, sf, {n: read_indicators(spark, Sheet(path, n), n) for n in tables})
+
+
+def _group_sheets(spark, sf) -> dict[str, DataFrame]:
+    """Groups and their members from the two sheets of a workbook."""
+    path = new_folder(spark, "groups")
+    members = view(spark, sf, "v_member").withColumn("close_date", F.lit(None).cast("string"))
+    tables = {"parents": view(spark, sf, "v_pcn"), "members": members}
+    write_workbooks({n: _at_positions(t, FIELDS[n]) for n, t in tables.items()}, path)
+    return {n: read_fields(spark, Sheet(path, n), FIELDS[n]) for n in tables}
+
+
+def parent_index_sheets(spark, sf):
+    parents = _group_sheets(spark, sf)["parents"]
+    return rounded(orgs.parent_index(parents, view(spark, sf, "v_loc"), view(spark, sf, "v_postcode")))
+
+
+def registration_base_sheets(spark, sf):
+    members = orgs.open_only(_group_sheets(spark, sf)["members"])
+    return orgs.registration_base(view(spark, sf, "v_reg"), members)
+
+
 # --- aggregates and apportionment ------------------------------------------------------------
 
 
@@ -239,6 +283,15 @@ def density_apportion(spark, sf):
     return rounded(ap.apportion_wide(density, ap.practice_weights(base), ["popn_per_km2"]))
 
 
+def density_attributes(spark, sf):
+    """Area sizes from the boundary layer's attribute table instead of a delimited file."""
+    path = f"{new_folder(spark, 'boundaries')}.dbf"
+    write_attributes(view(spark, sf, "v_area"), path, [("LSOA11CD", "C", 12, 0), ("Shape__Are", "F", 24, 3)])
+    base = _base(spark, sf)
+    density = geo.density_by_area(base, read_areas(spark, path))
+    return rounded(ap.apportion_wide(density, ap.practice_weights(base), ["popn_per_km2"]))
+
+
 def area_remap_share(spark, sf):
     shares = geo.ethnicity_by_area(view(spark, sf, "v_map"), view(spark, sf, "v_eth"))
     return rounded(wide_to_long(shares, ["geo_code"], ETHNIC_GROUPS))
@@ -265,6 +318,15 @@ def age_quartiles_parent(spark, sf):
     return rounded(org.age_quartiles(view(spark, sf, "v_age"), "pcn_code", view(spark, sf, "v_member")))
 
 
+def price_quantiles_ranked(spark, sf):
+    """Quantiles of prices, where each group has about as many values as rows."""
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice", F.col("l_quantity").alias("sold"), F.col("l_linenumber").alias("line"))
+    shares = {"q1": 0.25, "median": 0.5, "p99": 0.99}
+    return rounded(
+        weighted_quantiles_by_rank(lines, ["l_returnflag"], "l_extendedprice", ["sold", "line"], shares, spread=("spread", "p99", "q1"), most=2000), 4
+    )
+
+
 def prevalence_org(spark, sf):
     return rounded(org.prevalence_practice(view(spark, sf, "v_prev"), CONDITIONS))
 
@@ -495,21 +557,26 @@ QUERIES: dict[str, Query] = {
     "pattern_select": pattern_select,
     "reorder_rename_keep": reorder_rename_keep,
     "registration_base": registration_base,
+    "registration_base_sheets": registration_base_sheets,
     "org_index": org_index,
     "parent_index": parent_index,
+    "parent_index_sheets": parent_index_sheets,
     "null_safe_join": null_safe_join,
     "feature_join_guard": feature_join_guard,
     "multi_left_join_unpivot": multi_left_join_unpivot,
+    "indicator_sheets": indicator_sheets,
     "sum_ignore_null": sum_ignore_null,
     "sum_poison_null": sum_poison_null,
     "apportion_org": apportion_org,
     "apportion_parent": apportion_parent,
     "density_apportion": density_apportion,
+    "density_attributes": density_attributes,
     "area_remap_share": area_remap_share,
     "ethnicity_apportion": ethnicity_apportion,
     "deprivation_apportion": deprivation_apportion,
     "age_quartiles_org": age_quartiles_org,
     "age_quartiles_parent": age_quartiles_parent,
+    "price_quantiles_ranked": price_quantiles_ranked,
     "prevalence_org": prevalence_org,
     "prevalence_parent": prevalence_parent,
     "achievement_org": achievement_org,

@@ -1,8 +1,9 @@
 """The input files of the index job: where each column sits and what it becomes.
 
 Files are addressed by a plain mapping of source name to path; ``achievement``
-takes a list of extracts.  Worksheets and the boundary layer's attribute table
-are expected as delimited files with the same columns.
+takes a list of extracts.  A source that comes as a worksheet is addressed by a
+``Sheet`` (workbook and sheet name), the boundary layer by its ``.dbf`` file;
+delimited files with the same columns do as well.
 """
 
 from __future__ import annotations
@@ -17,7 +18,11 @@ from peerlens.plans.index import Sources
 from peerlens.plans.names import INDICATORS, SCORES
 from peerlens.plans.org_features import age_table
 from peerlens.plans.organisations import open_only
+from peerlens.sources.attributes import read_attributes
 from peerlens.sources.readers import read_csv, read_csv_all, read_csv_parts
+from peerlens.sources.workbooks import Sheet, read_sheet
+
+Place = str | Sheet
 
 # Fixed values: (1-based position, working name, type) of the columns in use.
 FIELDS: dict[str, list[tuple[int, str, str]]] = {
@@ -67,6 +72,19 @@ def distinct_names(df: DataFrame, column: str) -> list[str]:
     return sorted(r[0] for r in found)
 
 
+def read_fields(spark: SparkSession, place: Place, fields: Sequence[tuple[int, str, str]], header: bool = True) -> DataFrame:
+    """Columns by position, of a sheet or of delimited files."""
+    read = read_sheet if isinstance(place, Sheet) else read_csv
+    return read(spark, place, fields, header=header)
+
+
+def read_areas(spark: SparkSession, path: str) -> DataFrame:
+    """Code and size of each area, from the boundary layer's attributes or a delimited file."""
+    columns = ["LSOA11CD", "Shape__Are"]
+    raw = read_attributes(spark, path, columns) if path.lower().endswith(".dbf") else read_csv_all(spark, path)
+    return raw.select(columns[0], F.col(columns[1]).cast("double").alias(columns[1]))
+
+
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
     """Area code and every column whose name contains ``score``."""
     raw = read_csv_all(spark, path)
@@ -79,10 +97,10 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_indicators(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_indicators(spark: SparkSession, path: Place, table: str) -> DataFrame:
     """One underlying-indicator table."""
     measures = [(FIRST_INDICATOR + i, name, "double") for i, name in enumerate(INDICATORS[table])]
-    return read_csv(spark, path, [(1, "lsoa11cd", "string"), *measures])
+    return read_fields(spark, path, [(1, "lsoa11cd", "string"), *measures])
 
 
 def read_practice_staff(spark: SparkSession, path: str) -> DataFrame:
@@ -96,7 +114,7 @@ def read_practice_staff(spark: SparkSession, path: str) -> DataFrame:
 
 def load_sources(
     spark: SparkSession,
-    paths: Mapping[str, str | Sequence[str]],
+    paths: Mapping[str, Place | Sequence[str]],
     conditions: Sequence[str] | None = None,
     measures: Sequence[str] | None = None,
     **groups: Mapping[str, str],
@@ -108,7 +126,7 @@ def load_sources(
     """
 
     def table(name: str, header: bool = True) -> DataFrame:
-        return read_csv(spark, paths[name], FIELDS[name], header=header)
+        return read_fields(spark, paths[name], FIELDS[name], header)
 
     prevalence = table("prevalence")
     achievement = read_csv_parts(spark, paths["achievement"], FIELDS["achievement"])
@@ -116,7 +134,6 @@ def load_sources(
         conditions = distinct_names(prevalence.select(F.lower("GROUP_CODE").alias("name")), "name")
     if measures is None:
         measures = distinct_names(achievement, "INDICATOR_CODE")
-    areas = read_csv_all(spark, paths["areas"])
     return Sources(
         registrations=table("registrations"),
         practices=table("practices", header=False),
@@ -124,7 +141,7 @@ def load_sources(
         members=open_only(table("members")),
         locations=table("locations"),
         postcodes=table("postcodes"),
-        areas=areas.select("LSOA11CD", F.col("Shape__Are").cast("double").alias("Shape__Are")),
+        areas=read_areas(spark, paths["areas"]),
         ages=age_table(table("age_female"), table("age_male")),
         prevalence=prevalence,
         achievement=achievement,

@@ -17,7 +17,9 @@ from peerlens.plans.names import INDICATORS, SCORES, similarity_features
 from peerlens.sources.inputs import FIELDS, load_sources
 from peerlens.sources.readers import read_csv, read_csv_all, read_csv_parts, read_snapshot, rows_of_layer
 from peerlens.sources.sinks import write_csv, write_snapshot, write_snapshots
+from peerlens.sources.attributes import write_attributes
 from peerlens.sources.staging import new_folder, stage, staging_scope
+from peerlens.sources.workbooks import Sheet, write_workbooks
 
 SF = "/root/testdata/sf0.001"
 
@@ -269,3 +271,19 @@ def test_lists_follow_the_index_without_a_rebuild(spark, built):
     want = as_set(rounded(nearest_and_farthest(vectors)))
     assert as_set(rounded(read_snapshot(spark, f"{out}/dist_lists/practice"))) == want
     assert jobs.update_neighbours(spark, out, ["practice"])["practice"].compared == 0
+
+
+def test_sheets_and_attribute_tables_in_place_of_delimited_files(spark, paths, tmp_path):
+    plain = load_sources(spark, paths)
+    sheets, shapes = f"{tmp_path}/book", f"{tmp_path}/areas.dbf"
+    names = ["parents", "members", *[f"indicators_{t}" for t in INDICATORS]]
+    tables = {n: spark.read.option("header", True).option("nullValue", "NA").csv(paths[n]) for n in names}
+    write_workbooks(tables, sheets, 300)
+    areas = spark.read.option("header", True).option("nullValue", "NA").csv(paths["areas"])
+    write_attributes(areas, shapes, [("LSOA11CD", "C", 12, 0), ("Shape__Are", "F", 24, 3)])
+    read = load_sources(spark, paths | {n: Sheet(sheets, n) for n in names} | {"areas": shapes})
+    pairs = [(plain.parents, read.parents), (plain.members, read.members), (plain.areas, read.areas)]
+    pairs += [(plain.indicators[t], read.indicators[t]) for t in INDICATORS]
+    for a, b in pairs:
+        assert a.dtypes == b.dtypes
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
