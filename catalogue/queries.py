@@ -11,7 +11,7 @@ from catalogue.views import CONDITIONS, MEASURES, PAYMENTS, table, view
 from peerlens.functions.columns import names_containing, pick_positions, quoted, rename_all
 from peerlens.functions.missing import not_in_keeping_null
 from peerlens.operators import apportion as ap
-from peerlens.operators import balls, clustering, neighbours, refresh, seeding, silhouette
+from peerlens.operators import balls, clustering, neighbours, refresh, seeding, silhouette, silhouette_sample
 from peerlens.operators.joins import chain_left, clashing_names, guarded_feature_join, left_lookup
 from peerlens.operators.layer import map_layer
 from peerlens.operators.reshape import wide_to_long
@@ -457,6 +457,21 @@ def silhouette_labels(spark, sf):
     return rounded(silhouette.silhouette_of_labels(_embeddings(spark, sf), "label"))
 
 
+def silhouette_sampled(spark, sf):
+    """Widths by samples; clusters that are smaller than their sample come out exact."""
+    points = table(spark, sf, "embeddings").selectExpr("vec_id AS key", "embedding AS vec", "label")
+    return rounded(silhouette_sample.sampled_silhouettes(points, "label").select("key", "label", "width"))
+
+
+def silhouette_bounds(spark, sf):
+    """How many exact widths lie in the intervals of coarse samples."""
+    points = table(spark, sf, "embeddings").selectExpr("vec_id AS key", "embedding AS vec", "label")
+    exact = silhouette.silhouette_of_labels(points, "label").select("key", F.col("width").alias("exact"))
+    found = silhouette_sample.sampled_silhouettes(points, "label", epsilon=0.9, delta=0.05).join(exact, "key")
+    held = F.col("exact").between(F.col("low") - 1e-9, F.col("high") + 1e-9)
+    return found.groupBy("label").agg(F.count(F.lit(1)).alias("points"), F.count_if(held).alias("held"))
+
+
 def silhouette_sweep(spark, sf):
     return rounded(silhouette.silhouette_sweep(_cluster_vectors(spark, sf)))
 
@@ -600,6 +615,8 @@ QUERIES: dict[str, Query] = {
     "wss_sweep": wss_sweep,
     "silhouette_labels": silhouette_labels,
     "silhouette_sweep": silhouette_sweep,
+    "silhouette_sampled": silhouette_sampled,
+    "silhouette_bounds": silhouette_bounds,
     "map_layer": map_layer_rows,
     "map_layer_of_cluster": map_layer_of_cluster,
     "full_index": full_index,
