@@ -543,7 +543,7 @@ _RAW |= {
     "neighbours_refreshed": f"WITH {GAP_PAIRS} {top(NEAR, 'nearest')} UNION ALL {top(FAR, 'farthest')}",
     "snapshot_unit": _RAW["org_index"],
     "silhouette_sampled": _RAW["silhouette_labels"],
-    "silhouette_bounds": "SELECT label, count(*) AS points, count(*) AS held FROM embeddings GROUP BY label",
+    "silhouette_bounds": "SELECT label % 2 AS label, count(*) AS points, count(*) AS held FROM embeddings GROUP BY 1",
     "indicator_sheets": _RAW["multi_left_join_unpivot"],
     "parent_index_sheets": _RAW["parent_index"],
     "registration_base_sheets": _RAW["registration_base"],

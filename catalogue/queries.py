@@ -464,8 +464,8 @@ def silhouette_sampled(spark, sf):
 
 
 def silhouette_bounds(spark, sf):
-    """How many exact widths lie in the intervals of coarse samples."""
-    points = table(spark, sf, "embeddings").selectExpr("vec_id AS key", "embedding AS vec", "label")
+    """How many exact widths lie in the intervals of coarse samples; two clusters, larger than their samples."""
+    points = table(spark, sf, "embeddings").selectExpr("vec_id AS key", "embedding AS vec", "label % 2 AS label")
     exact = silhouette.silhouette_of_labels(points, "label").select("key", F.col("width").alias("exact"))
     found = silhouette_sample.sampled_silhouettes(points, "label", epsilon=0.9, delta=0.05).join(exact, "key")
     held = F.col("exact").between(F.col("low") - 1e-9, F.col("high") + 1e-9)

@@ -6,7 +6,7 @@ import pytest
 from peerlens.operators.silhouette import silhouette_of_labels
 from peerlens.operators.silhouette_sample import mean_silhouette, pivot_count, sample_weight, sampled_silhouettes
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"
 
 
 def plain(x, labels):
@@ -59,12 +59,13 @@ def test_intervals_hold_on_drawn_clusters(spark, seed):
 
 
 def test_embeddings_within_their_bound(spark):
-    points = spark.read.parquet(f"{SF}/embeddings.parquet").selectExpr("vec_id AS key", "embedding AS vec", "label")
+    points = spark.read.parquet(f"{SF}/embeddings.parquet").selectExpr("vec_id AS key", "embedding AS vec", "label % 2 AS label")
+    assert points.count() / 2 > 4 * sample_weight(points.count(), 2, 0.9, 0.5)  # both clusters are sampled
     found = sampled_silhouettes(points, "label", epsilon=0.9, delta=0.5).join(
         silhouette_of_labels(points, "label").selectExpr("key", "width AS exact"), "key"
     )
     off = found.selectExpr("count(*) AS n", "count_if(exact BETWEEN low - 1e-9 AND high + 1e-9) AS held", "avg(abs(width - exact)) AS error").first()
-    assert off.n == off.held > 0 and off.error < 0.1
+    assert off.n == off.held > 0 and 0 < off.error < 0.1
 
 
 def test_edges(spark):
