@@ -2,8 +2,9 @@
 
 No broadcast hints on lookups: Spark broadcasts a side only when its size is
 known to be under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts
-and merges, with skewed partitions split at run time.  Hints are given only
-where rows of a stored table were counted first.
+and merges, with skewed partitions split at run time.  Such hints are given only
+where rows of a stored table were counted first; chains of tables as long as
+their base are always merged.
 """
 
 from __future__ import annotations
@@ -106,10 +107,15 @@ def guarded_feature_join(index: DataFrame, features: DataFrame, key: str, featur
 
 
 def chain_left(base: DataFrame, others: Sequence[DataFrame], key: str) -> DataFrame:
-    """Left-join several tables on one key; the key's partitioning is reused."""
+    """Left-join several tables on one key; the key's partitioning is reused.
+
+    Every table is as long as the base, so all are sorted and merged: sizes
+    guessed from packed files are far below those of the rows in memory, and
+    several such tables broadcast at once do not fit in the driver.
+    """
     out = base
     for other in others:
-        out = out.join(other, key, "left")
+        out = out.join(other.hint("merge"), key, "left")
     return out
 
 

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from catalogue import queries as q
 from catalogue.views import CONDITIONS, view
@@ -92,3 +93,13 @@ def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     root = shared_root(spark)
     assert root == configured.rstrip("/") if configured else root
+
+
+def test_chained_tables_are_not_broadcast(spark):
+    """Tables as long as their base look small on disk; six of them broadcast at once fill the driver."""
+    from peerlens.operators.joins import chain_left
+
+    base, one, two = (stage(spark.range(1000).select(F.col("id").alias("key"), F.col("id").alias(n)), "plan") for n in "abc")
+    joined = chain_left(base, [one, two], "key")
+    assert "Broadcast" not in plan(joined) and plan(joined).count("SortMergeJoin LeftOuter") >= 2
+    assert joined.count() == 1000
