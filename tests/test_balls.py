@@ -1,10 +1,12 @@
 """Pruned neighbour lists against the full comparison and a plain double loop."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from peerlens.operators import balls
 from peerlens.operators.balls import ball_lists
+from peerlens.operators.blocks import candidates
 from peerlens.operators.neighbours import nearest_and_farthest
 from peerlens.sources.staging import stage
 from tests.test_distance import brute, brute_lists, rows_with_everything
@@ -122,3 +124,49 @@ def test_long_lists_of_rows_use_balls(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BALLS_FROM", 300)
     monkeypatch.setattr(balls, "BALL_ROWS", 20)
     assert lists_of(nearest_and_farthest(vectors, 3), "nearest") == want
+
+
+def test_rows_without_clusters_are_sent_once_a_set(spark):
+    """Where hardly any ball can be ruled out, a row is copied once a set of balls and not once a ball."""
+    rng = np.random.default_rng(9)
+    raw = rng.normal(size=(3000, 12))
+    rows = pa.array(range(3000)), pa.ListArray.from_arrays(pa.array(np.arange(0, 36001, 12), pa.int32()), pa.array(raw.ravel()))
+    pattern = np.ones(12, bool)
+    centres = raw[:300]
+    ball = balls.Balls(pattern[None], [centres], np.arange(300), np.full(300, 50.0), np.full(300, 10))
+    sets = balls.sets_of(ball, 1000)
+    assert len(sets) == 3 and sets.size == 100
+    none = pa.ListArray.from_arrays(pa.array(np.zeros(3001, int), pa.int32()), pa.array([], pa.int32()))
+    batch = pa.RecordBatch.from_arrays([*rows, none, pa.array(np.full(3000, np.inf))], names=["key", "vec", "nearest", "nearest_limit"])
+    sent = list(balls.visits(ball, sets, ["nearest"], len(balls.ROUND_ENDS))(iter([batch])))
+    assert sum(b.num_rows for b in sent) == 3 * 3000
+    assert sum(pc_sum(b) for b in sent) == 3000 * 3000
+    # and no task holds the bounds of a whole batch to all balls
+    assert max(b.num_rows for b in sent) <= 3 * balls.CELLS // 300
+
+
+def pc_sum(batch):
+    return sum(batch.column("pairs").to_pylist())
+
+
+def test_each_common_pattern_has_balls(spark):
+    """Rows that lack the same values are pruned like the others, not compared with all."""
+    rows = clustered(3_000, 30, 7)
+    for i in range(0, 3_000, 2):
+        rows[i][1][3] = None
+    vectors = stored(spark, rows, "long")
+    found = ball_lists(vectors, 5, BOTH, ball_rows=50)
+    full = nearest_and_farthest(vectors, 5)
+    got = ranked(found, 5)
+    for which in BOTH:
+        assert got[which] == lists_of(full, which)
+    assert found.compared < 0.4 * found.pairs
+
+
+def test_limits_leave_no_cell_out():
+    """Cells up to the limit stay, missing distances only where they rank first."""
+    v = np.array([[1.0, 4.0, 4.0, np.nan, 9.0, np.nan]])
+    error, limit = np.array([1e-12]), np.array([2.0])
+    assert candidates(v, error, 2, False, limit)[1].tolist() == [0, 1, 2]
+    assert candidates(v, error, 1, True, limit)[1].tolist() == [1, 2, 4, 5]
+    assert candidates(v, error, 2, True, np.array([0.0]))[1].tolist() == [0, 1, 2, 3, 4, 5]
