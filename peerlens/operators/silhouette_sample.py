@@ -38,7 +38,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Samples of all clusters are compared with every point, so there may not be many clusters.
 MOST_LABELS = 1000
-POINTS, SAMPLES = 2048, 4096  # of one matrix product
+POINTS, SAMPLES = 512, 1024  # of one matrix product; some six arrays of that size are held
 CLOSE = 1e-6  # squared distances below this share of the squared lengths are recomputed from differences
 
 

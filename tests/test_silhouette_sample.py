@@ -3,6 +3,8 @@
 import numpy as np
 import pytest
 
+from peerlens.operators import silhouette_sample
+
 from peerlens.operators.silhouette import silhouette_of_labels
 from peerlens.operators.silhouette_sample import mean_silhouette, pivot_count, sample_weight, sampled_silhouettes
 
@@ -83,3 +85,23 @@ def test_edges(spark):
     gap = spark.createDataFrame([(1, [1.0, None], 0), (2, [1.0, 2.0], 1)], "key long, vec array<double>, label int")
     with pytest.raises(Exception, match="missing values"):
         sampled_silhouettes(gap, "label").collect()
+
+
+def test_a_task_holds_small_tiles_only(tmp_path):
+    """Distances of a batch to the samples are made in tiles of a few MB, whatever the sizes of both."""
+    import tracemalloc
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    def vectors(n):
+        return pa.FixedSizeListArray.from_arrays(pa.array(np.random.default_rng(n).normal(size=2 * n)), 2).cast(pa.list_(pa.float64()))
+
+    own = [pa.array(np.arange(n) % 2) for n in (6000, 4096)]
+    pq.write_table(pa.table({"own": own[0], "vec": vectors(6000), "p": pa.array(np.ones(6000))}), tmp_path / "a.parquet")
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4096)), own[1], vectors(4096)], names=["key", "own", "vec"])
+    tracemalloc.start()
+    [found] = silhouette_sample._estimates(str(tmp_path), [3000, 3000], [0.5, 0.5])(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows == 4096 and peak < 64 << 20
