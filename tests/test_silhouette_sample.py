@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 
 from peerlens.operators import silhouette_sample
-
 from peerlens.operators.silhouette import silhouette_of_labels
 from peerlens.operators.silhouette_sample import mean_silhouette, pivot_count, sample_weight, sampled_silhouettes
 
