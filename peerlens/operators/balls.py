@@ -376,7 +376,7 @@ def make_balls(vectors: DataFrame, rows: int, ball_rows: int, max_rows: int) ->
     spark = vectors.sparkSession
     here = F.transform("vec", lambda v: v.isNotNull() & ~F.isnan(v))
     common = vectors.groupBy(here.alias("pattern")).count().orderBy(F.desc("count"), F.col("pattern").cast("string")).limit(MAX_PATTERNS)
-    known = [r for i, r in enumerate(common.collect()) if any(r.pattern) and (not i or r["count"] >= ball_rows)]
+    known = [r for i, r in enumerate(common.collect()) if any(r.pattern or []) and (not i or r["count"] >= ball_rows)]
     patterns = np.array([r.pattern for r in known], bool).reshape(len(known), len(known[0].pattern) if known else 0)
     # A pattern gets pivots by its share of the rows.
     numbers = [max(1, min(MAX_PIVOTS * r["count"] // max(rows, 1), math.ceil(r["count"] / ball_rows))) for r in known]
