@@ -28,7 +28,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -110,29 +110,48 @@ class Tokenizers:
         self.a_words = [f"{i}{after}" for after in ",|" for i in range(len(self.a_bytes))]
         self.b_words = [f"{i}{after}" for after in ",;" for i in range(len(self.b_bytes))]
 
-    def encode(self, words: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
+    def encode(self, words: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
         """Ids of both sides of each word, and whether both give back space and word."""
-        a_ids = [x.ids for x in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
+        spaced = [" " + w for w in words]
+        whole = [w.encode() for w in spaced]
+        a_ids = [x.ids for x in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
         b_ids = self.b.encode(words, num_threads=1)
-        sound = [
-            all(
-                b"".join(map(table.__getitem__, ids)) == whole
-                for table, ids in ((self.a_bytes, one_a), (self.b_bytes, one_b))
-            )
-            for one_a, one_b, whole in zip(a_ids, b_ids, (b" " + w.encode() for w in words))
-        ]
+        sound = given_back(a_ids, self.a_bytes, self.a_sizes, whole) & given_back(b_ids, self.b_bytes, self.b_sizes, whole)
         return a_ids, b_ids, sound
 
 
+def given_back(ids: list[list[int]], table: list[bytes], sizes: np.ndarray, whole: list[bytes]) -> np.ndarray:
+    """Of each word whether its tokens' bytes, put together, are the word's: first by length, then byte by byte for all at once."""
+    counts = np.fromiter(map(len, ids), np.int64, len(ids))
+    flat = np.fromiter(chain.from_iterable(ids), np.int64, counts.sum())
+    length = np.fromiter(map(len, whole), np.int64, len(whole))
+    ends = np.cumsum(np.concatenate([[0], sizes[flat]]))[np.concatenate([[0], np.cumsum(counts)])]
+    same = np.diff(ends) == length
+    kept = flat if same.all() else flat[np.repeat(same, counts)]
+    found = np.frombuffer(b"".join(map(table.__getitem__, kept.tolist())), np.uint8)
+    wanted = np.frombuffer(b"".join(whole if same.all() else compress(whole, same)), np.uint8)
+    other = np.flatnonzero(found != wanted)
+    if len(other):
+        place = np.flatnonzero(same)
+        same[place[np.searchsorted(np.cumsum(length[place]), other, side="right")]] = False
+    return same
+
+
 class Side:
     """Ids of the words known so far, one after the other."""
 
     def __init__(self) -> None:
-        self.ids, self.ends = EMPTY, np.zeros(1, np.int64)
+        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def add(self, ids: list[list[int]]) -> None:
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.int64)])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)])
+        ends = self.ends[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.int32)])
+        self.ends = np.concatenate([self.ends, ends])
+
+    def keep(self, words: np.ndarray) -> None:
+        """Only these words, numbered in this order from now on."""
+        self.ids, sizes = self.of(words)
+        self.ends = np.cumsum(np.concatenate([[0], sizes]))
 
     def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of these words in order, and how many each has."""
@@ -142,29 +161,46 @@ class Side:
 
 
 class Encoder:
-    """Encodes each distinct word, that is what stands between two cuts, once; forgets them when there are many."""
+    """Encodes each distinct word, that is what stands between two cuts, once.
+
+    When there are many, those used least are forgotten, half of them at least.
+    """
 
     def __init__(self, tools: Tokenizers):
         self.tools = tools
-        self.forget()
+        self.place: dict[str, int] = {}
+        self.a, self.b, self.sound, self.uses = Side(), Side(), np.zeros(0, bool), np.zeros(0, np.int64)
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.a, self.b, self.sound = Side(), Side(), np.zeros(0, bool)
+        """The words used most stay, of equally often used ones all or none."""
+        least = np.partition(self.uses, len(self.uses) // 2)[len(self.uses) // 2]
+        kept = self.uses > least
+        words = np.flatnonzero(kept)
+        self.place = {w: i for i, w in enumerate(compress(self.place, kept))}
+        self.a.keep(words)
+        self.b.keep(words)
+        self.sound, self.uses = self.sound[words], self.uses[words] >> 1
 
     def tokens(self, pieces: list[str]) -> tuple[pd.DataFrame, pd.DataFrame, np.ndarray]:
         """Both sides' tokens of the sound pieces, and which these are."""
         if len(self.place) > KNOWN_WORDS:
             self.forget()
         cut = [CUT.split(p) for p in pieces]
+        number, distinct = pd.factorize(np.array(list(chain.from_iterable(cut)), object))
         place, known = self.place, len(self.place)
-        words = np.fromiter((place.setdefault(w, len(place)) for ws in cut for w in ws), np.int64)
-        new = list(islice(place, known, None))
+        at = np.fromiter(map(place.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = list(compress(distinct, at < 0))
         if new:
+            numbers = range(known, known + len(new))
+            place.update(zip(new, numbers))
+            at[at < 0] = numbers
             a_ids, b_ids, sound = self.tools.encode(new)
             self.a.add(a_ids)
             self.b.add(b_ids)
-            self.sound = np.concatenate([self.sound, np.array(sound, bool)])
+            self.sound = np.concatenate([self.sound, sound])
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        words = at[number]
+        self.uses += np.bincount(words, minlength=len(place))
         piece = np.repeat(np.arange(len(pieces)), [len(ws) for ws in cut])
         sound = np.bincount(piece[~self.sound[words]], minlength=len(pieces)) == 0
         # Where a side does not give back the bytes, the sides' offsets part ways: such pieces stay out.
@@ -182,10 +218,11 @@ def placed(ids: np.ndarray, counts: np.ndarray, doc: np.ndarray, sizes: np.ndarr
 
 def overlapping(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     """All pairs of overlapping tokens: each start finds the token of the other side that covers it."""
+    a, b = (side[["at", "doc", "token"]] for side in (a, b))
     over_a = pd.merge_asof(a, b, on="at", by="doc", suffixes=("_a", "_b"))
     over_b = pd.merge_asof(b, a.assign(start_a=a["at"]), on="at", by="doc", suffixes=("_b", "_a"))
     over_b = over_b[over_b["start_a"] != over_b["at"]]  # equal starts are in the first half
-    columns = ["doc", "id_a", "id_b", "end_a", "end_b", "token_a", "token_b"]
+    columns = ["doc", "token_a", "token_b"]
     return pd.concat([over_a[columns], over_b[columns]], ignore_index=True)
 
 
@@ -197,8 +234,9 @@ def written(tools: Tokenizers, a: pd.DataFrame, b: pd.DataFrame, links: pd.DataF
     group_a = np.cumsum(last_a) - last_a
     group_b = np.cumsum(last_b) - last_b
     # Group by group, first A's tokens, then B's.
-    place_a = np.arange(len(a)) + np.searchsorted(group_b, group_a, side="left")
-    place_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")
+    in_a, in_b = (np.bincount(group, minlength=len(links) + 1) for group in (group_a, group_b))
+    place_a = np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]
+    place_b = np.arange(len(b)) + np.cumsum(in_a)[group_b]
     words = np.empty(len(a) + len(b), np.int64)
     words[place_a] = a["id"].to_numpy() + last_a * len(tools.a_bytes)
     words[place_b] = b["id"].to_numpy() + last_b * len(tools.b_bytes) + len(tools.a_words)
@@ -215,17 +253,20 @@ def align(encoder: Encoder, pieces: list[str]) -> tuple[np.ndarray, dict[str, np
     """Of each piece whether it is sound, its numbers and its groups; the links' pieces and pair codes, in order."""
     a, b, sound = encoder.tokens(pieces)
     overlaps = overlapping(a, b)
-    links = overlaps[overlaps["end_a"] == overlaps["end_b"]].sort_values("token_a")
+    at_a, at_b = (overlaps[column].to_numpy() for column in ("token_a", "token_b"))
+    end_a = a["end"].to_numpy()[at_a]
+    links = overlaps.assign(end=end_a)[end_a == b["end"].to_numpy()[at_b]].sort_values("token_a", kind="stable")
     per_piece = lambda column: np.bincount(column, minlength=len(pieces))
     numbers = {
         "n_a": per_piece(a["doc"]),
         "n_b": per_piece(b["doc"]),
         # A group ends with each byte offset at which both sides have an end.
-        "n_groups": per_piece(links["doc"][np.diff(links["end_a"], prepend=-1) > 0]),
+        "n_groups": per_piece(links["doc"][np.diff(links["end"], prepend=-1) > 0]),
         "n_links": per_piece(links["doc"]),
         "n_overlaps": per_piece(overlaps["doc"]),
     }
-    code = links["id_a"].to_numpy() * len(encoder.tools.b_bytes) + links["id_b"].to_numpy()
+    id_a, id_b = (side["id"].to_numpy()[links[token]] for side, token in ((a, "token_a"), (b, "token_b")))
+    code = id_a.astype(np.int64) * len(encoder.tools.b_bytes) + id_b
     return sound, numbers, written(encoder.tools, a, b, links, len(pieces)), links["doc"].to_numpy(), code
 
 
@@ -275,7 +316,8 @@ class Batch:
         """One row a text, then the batch's own with its distinct pairs and their numbers."""
         doc, code = np.concatenate(self.docs), np.concatenate(self.codes)
         doc, code = doc[self.sound[doc]], code[self.sound[doc]]
-        distinct, place, n = np.unique(code, return_inverse=True, return_counts=True)
+        place, distinct = pd.factorize(code, sort=True)
+        n = np.bincount(place, minlength=len(distinct))
         place, first = place.astype("<u4"), np.searchsorted(doc, np.arange(len(ids) + 1))
         some = self.sound & (self.numbers["n_a"] > 0)
         columns = {

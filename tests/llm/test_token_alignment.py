@@ -142,6 +142,29 @@ def test_words_are_forgotten_without_a_trace(spark, tools, monkeypatch):
     same(T.token_alignment(docs, *PATHS).select(*COLUMNS).collect(), plain(tools, rows))
 
 
+def test_words_used_most_stay_known(tools, monkeypatch):
+    monkeypatch.setattr(T, "KNOWN_WORDS", 50)
+    encoder, encoded = T.Encoder(tools), []
+    encode = tools.encode
+    monkeypatch.setattr(tools, "encode", lambda words: encoded.extend(words) or encode(words))
+    texts = [" ".join(["often"] * 3 + ["bad▁often"] + [f"w{i}x{j}" for j in range(30)]) for i in range(20)]
+    for text in texts:
+        a, b, sound = encoder.tokens([text, "often seen"])
+        assert sound.tolist() == [False, True]
+        assert [a["id"].tolist(), b["id"].tolist()] == [[i for i, _, _ in side] for side in plain_tokens(tools, "often seen")]
+        assert len(encoder.place) <= 50 + 32
+    assert encoded.count("often") == 1 and encoded.count("seen") < 4
+
+
+def test_given_back_tells_bytes_and_not_only_lengths():
+    table = [b"", b" a", b"b", b"cd"]
+    sizes = T.np.array([len(x) for x in table])
+    ids = [[1, 2], [1], [1, 3], [], [1, 2, 2], [3, 2]]
+    whole = [b" ab", b" ab", b" abc", b"", b" aba", b"cdb"]
+    assert T.given_back(ids, table, sizes, whole).tolist() == [True, False, False, True, False, True]
+    assert T.given_back([], table, sizes, []).tolist() == []
+
+
 def test_one_pair_in_all_documents(spark, tools):
     rows = [(i, "the" if i % 3 else f"the {i}") for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
