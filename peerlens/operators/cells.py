@@ -86,10 +86,11 @@ class Boxes:
 
 
 class Rows:
-    """Keys and vectors of one side, in the order of the keys."""
+    """Keys and vectors of one side, in the order of the keys; a missing key stands where it comes last among equal distances."""
 
-    def __init__(self, table: pa.Table):
-        table = table.take(pc.sort_indices(table, sort_keys=[("key", "ascending")], null_placement="at_start"))
+    def __init__(self, table: pa.Table, farthest: bool):
+        nulls = "at_start" if farthest else "at_end"
+        table = table.take(pc.sort_indices(table, sort_keys=[("key", "ascending")], null_placement=nulls))
         self.table, self.keys, self.raw = table, _one_chunk(table.column("key")), matrix(table)
 
 
@@ -334,7 +335,7 @@ def own_lists(k: int) -> Callable:
     """Group function: a cell's rows with the k nearest inside and their limits."""
 
     def run(table: pa.Table) -> pa.Table:
-        a = Rows(table)
+        a = Rows(table, False)
         n = len(a.raw)
         found, limit = search(a, a, np.arange(n), np.full(n, np.inf), k, False)
         columns = [a.keys, a.table.column("vec"), a.table.column("cell"), pa.array(limit), *lists_of(a, a, found, n)]
@@ -348,7 +349,7 @@ def guest_lists(k: int, farthest: bool) -> Callable:
 
     def run(table: pa.Table) -> pa.Table:
         host = _one_chunk(table.column("host"))
-        a, b = Rows(table.filter(pc.invert(host))), Rows(table.filter(host))
+        a, b = Rows(table.filter(pc.invert(host)), farthest), Rows(table.filter(host), farthest)
         n, limit = len(a.raw), a.table.column("bound").to_numpy()
         found, met = tuple(np.zeros(0, t) for t in (np.int64, np.int64, float)), None
         if n and len(b.raw):
@@ -577,15 +578,19 @@ def merged(k: int) -> Callable:
         reach, group = np.where(far, -reach, reach), orig * 2 + far
         order = np.lexsort((reach, group))
         alike = (group[order][1:] == group[order][:-1]) & (reach[order][1:] == reach[order][:-1])
+        lost, turn = dest.is_null().to_numpy(zero_copy_only=False)[index], np.zeros(len(index), np.int64)
         if alike.any():
             tied = order[np.append(alike, False) | np.insert(alike, 0, False)]
-            rank = pc.rank(dest.take(pa.array(index[tied])), "ascending", null_placement="at_start", tiebreaker="dense")
-            turn = np.zeros(len(index), np.int64)
+            rank = pc.rank(dest.take(pa.array(index[tied])), "ascending", null_placement="at_end", tiebreaker="dense")
             turn[tied] = np.where(far[tied], -1, 1) * rank.to_numpy().astype(np.int64)
+            turn[lost] = len(index) + 1
             order = np.lexsort((turn, reach, group))
         sorted_group = group[order]
         place = np.arange(len(order)) - np.searchsorted(sorted_group, sorted_group, side="left") + 1
         order, place = order[place <= k], place[place <= k]
+        if lost[order].any():  # a missing key that is among the nearest k is placed as Spark sorts it
+            turn[lost & ~far] = -1
+            order = order[np.lexsort((turn[order], reach[order], group[order]))]
         lists = pa.DictionaryArray.from_arrays(pa.array(far[order].astype(np.int8)), pa.array(["nearest", "farthest"])).cast(pa.string())
         columns = [lists, keys.dictionary.take(pa.array(orig[order])), dest.take(pa.array(index[order]))]
         columns += [pa.array(d[order], from_pandas=True), pa.array(place.astype(np.int32))]
@@ -635,7 +640,7 @@ def _copies_apart(vectors: DataFrame, k: int) -> tuple[DataFrame, DataFrame | No
     that list is the same for it and for all others between; for the farthest
     the first copy is such a one.
     """
-    marked = vectors.withColumn("hash", F.xxhash64("vec"))
+    marked = vectors.withColumn("hash", F.when(F.col("key").isNotNull(), F.xxhash64("vec")))  # a missing key is always compared
     hashes = stage(marked.groupBy("hash").count().where(F.col("count") > 2 * (k + 1)).select("hash"), "copies")
     if hashes.isEmpty():
         return vectors, None, None
@@ -691,7 +696,7 @@ def cell_lists(
     rows = sum(counts.values())
     by_key = lambda order: Window.partitionBy("code").orderBy(order)
     edges = []  # of each pattern the first and the last rows by key
-    for order in (F.col("key").asc(), F.col("key").desc()):
+    for order in (F.col("key").asc_nulls_last(), F.col("key").desc_nulls_last()):
         edge = coded.withColumn("at", F.row_number().over(by_key(order))).where(F.col("at") <= k + 1)
         edges.append(edge.select("code", "key", "vec").toArrow())
     every = max(1, cell_rows // PER_CELL, rows // MAX_SAMPLE)
@@ -751,7 +756,7 @@ def _few_of_each(edge: pa.Table, most: int) -> list[np.ndarray]:
 def _apart(edge: pa.Table, counts: dict[int, int], k: int, order: str) -> dict[int, pa.Array]:
     """For each pattern the first keys of those that share no coordinate with it, one more than k for the row itself."""
     code, keys, out = edge.column("code").to_numpy(), _one_chunk(edge.column("key")), {}
-    place = pc.array_sort_indices(keys, order=order, null_placement="at_start" if order == "ascending" else "at_end").to_numpy()
+    place = pc.array_sort_indices(keys, order=order, null_placement="at_end").to_numpy()
     for own in counts:
         if len(some := place[code[place] & own == 0]):
             out[own] = keys.take(pa.array(some[: k + 1]))

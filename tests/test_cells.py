@@ -59,6 +59,7 @@ def test_many_rows_of_few_features_go_by_cells(spark, monkeypatch):
     rows = [(None if i == 7 else f"K{i}", [float(v) for v in rng.normal(size=4)]) for i in range(600)]
     for i in range(0, 600, 11):
         rows[i][1][i % 4] = None
+    rows[5] = ("K5", [None] * 4)  # at no distance of any row, so the keys decide
     vectors = stored(spark, rows)
     want = {tuple(r) for r in nearest_and_farthest(vectors, 3).collect()}
     called = []
